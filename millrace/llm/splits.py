@@ -7,6 +7,7 @@ first, each into the split that needs that label most.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from .groups import clean, connected_groups, node_groups
 from .packing import current_rows
 
 #: A component with at least this part of all records is heavy; there are at most 1 / HEAVY of these.
-HEAVY = 1 / 4096
+HEAVY = 1 / 1024
 #: Light components are stratified in tasks of about this many.
 CHUNK = 8192
 
@@ -84,7 +85,7 @@ def grouped_split(spark: SparkSession, nodes: DataFrame, keys: DataFrame, target
     sizes = vectors.groupBy("component").agg(F.sum("n").alias("size"))
     total = vectors.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-sizes.count() // chunk))
-    big = sizes.where(F.col("size") >= max(1.0, heavy * total)) if parts > 1 else sizes.limit(0)
+    big = sizes.where(F.col("size") >= heavy * total)
     schema = "component long, split int"
 
     def place(pdf: pd.DataFrame, want: dict[str, list[float]]) -> pd.DataFrame:
@@ -104,21 +105,31 @@ def grouped_split(spark: SparkSession, nodes: DataFrame, keys: DataFrame, target
     chosen = tmp.cut(heavies.join(label_totals, "label").withColumn("part", F.lit(0)).groupBy("part").applyInPandas(first, schema))
     # what the heavy ones took of each label, by split
     took = heavies.join(chosen, "component").groupBy("label").pivot("split", list(range(len(names)))).agg(F.sum("n")).fillna(0)
-    light = vectors.join(chosen.select("component"), "component", "left_anti")
-    light = light.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(parts)))
+    light = vectors.join(chosen.select("component"), "component", "left_anti").withColumn("part", F.pmod(F.xxhash64("component"), F.lit(parts)))
     rest = light.groupBy("label").agg(F.sum("n").alias("light"))
-    open_ = label_totals.join(rest, "label").join(took, "label", "left").fillna(0)
+    open_ = label_totals.join(rest, "label", "left").join(took, "label", "left").fillna(0)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        """What light components shall give each split of each label: the rows add up to what there is, the columns to what
+        the splits lack in all, as near to the open label shares as that allows (iterative proportional fitting)."""
+        took = pdf[[str(i) for i in range(len(names))]].to_numpy(float)
+        there, light = pdf["in_all"].to_numpy(float)[:, None], pdf["light"].to_numpy(float)
+        lack = np.maximum(0.0, there.sum() * np.array(shares) - took.sum(0))
+        lack *= light.sum() / max(lack.sum(), 1e-9)
+        w = np.maximum(there * np.array(shares) - took, 1e-6 * there * np.array(shares))
+        for _ in range(100):
+            w *= (light / np.maximum(w.sum(1), 1e-12))[:, None]
+            w *= lack / np.maximum(w.sum(0), 1e-12)
+        return pd.DataFrame({"label": pdf["label"], "light": pdf["light"], "want": list(w)})
+
+    # one row for each label
+    wanted = tmp.cut(open_.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "label string, light long, want array<double>"))
 
     def later(pdf: pd.DataFrame) -> pd.DataFrame:
-        mine = pdf.groupby("label").agg({"n": "sum", "light": "first", "in_all": "first"} | {str(i): "first" for i in range(len(names))})
-        want = {}
-        for k, r in mine.iterrows():
-            w = [max(0.0, r["in_all"] * s - r[str(i)]) for i, s in enumerate(shares)]
-            f = r["n"] / (sum(w) or 1.0)  # this task's part of what is wanted
-            want[k] = [x * f for x in w]
+        want = {k: list(np.asarray(g["want"].iloc[0]) * g["n"].sum() / max(g["light"].iloc[0], 1)) for k, g in pdf.groupby("label")}
         return place(pdf, want)
 
-    spread = light.join(open_, "label").groupBy("part").applyInPandas(later, schema)
+    spread = light.join(wanted, "label").groupBy("part").applyInPandas(later, schema)
     final = tmp.cut(chosen.unionByName(spread))
     word = F.element_at(F.array(*(F.lit(n) for n in names)), F.col("split") + 1)
     entities = rows.select("dataset", "kind", "value", "component").distinct()
