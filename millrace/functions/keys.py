@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACES = r"(?U)^\s+|\s+$"
 
@@ -68,7 +69,7 @@ def hash60(*cols) -> Column:
     return F.conv(F.substring(F.md5(c), 1, 15), 16, 10).cast("long")
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def hash63(s: pd.Series) -> pd.Series:
     """63 bits of an 8-byte BLAKE2b digest, little-endian: the bit-compatible bucket hash. Null reads as empty."""
     mask = (1 << 63) - 1

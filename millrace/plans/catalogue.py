@@ -1,11 +1,23 @@
-"""All queries of the core by name, with their SQL."""
+"""The core's queries by name, over the tables of a folder, with their SQL.
+
+Every query runs over its whole tables. Those without SQL are sequential packers or carry Python models; they are
+tested against brute force on small fixtures.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import pairs_queries, retrieval_queries, training_queries
+
+_PARTS = (pairs_queries, retrieval_queries, training_queries)
+
 
-def queries() -> dict:
-    return {}
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {n: q for part in _PARTS for n, (q, _) in part.QUERIES.items()}
 
 
-def oracle_sql() -> dict:
-    return {}
+def oracle_sql() -> dict[str, str]:
+    return {n: s for part in _PARTS for n, (_, s) in part.QUERIES.items() if s}

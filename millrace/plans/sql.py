@@ -23,13 +23,13 @@ def jaccard(a: str, b: str) -> str:
     return f"case when len({a}) = 0 or len({b}) = 0 then 0.0 else len(list_intersect({a}, {b})) / len(list_distinct(list_concat({a}, {b}))) end"
 
 
-USABLE = "embedding is not null and len(embedding) = 128 and len(list_filter(embedding, x -> x is null)) = 0 and len(list_filter(embedding, x -> x <> 0)) > 0"
+USABLE = "embedding is not null and len(embedding) = 128 and len(list_filter(embedding, lambda x: x is null)) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0"
 STORE = f"""st as (
   select dataset, kind, id, lang, regexp_replace(id, '_[^_]*$', '') as item, embedding::double[] as v from (
     select coalesce(dataset, '') as dataset, coalesce(kind, '') as kind, coalesce(id, '') as id, coalesce(lang, '') as lang, embedding,
       row_number() over (partition by coalesce(dataset, ''), coalesce(kind, ''), coalesce(id, ''), coalesce(lang, '') order by coalesce(source_shard, 2147483647), embedding) as rn
     from vector_store where {USABLE}) where rn = 1)"""
-L2 = "round(list_sum(list_transform(list_zip(q.v, p.v), z -> (z[1] - z[2]) * (z[1] - z[2]))), 9)"
+L2 = "round(list_sum(list_transform(list_zip(q.v, p.v), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 9)"
 SCORED = f"""{STORE},
 keys as (select distinct coalesce(query_id, '') as query_id, coalesce(passage_id, '') as passage_id, coalesce(lang, '') as lang, coalesce(dataset, '') as dataset from pairs),
 npos as (select query_id, lang, dataset, count(*) as n from keys group by all),

@@ -8,10 +8,18 @@ from pyspark.sql import types as T
 
 PAIR = T.StructType([T.StructField(c, T.StringType()) for c in ("query", "passage", "query_id", "passage_id", "lang", "dataset")])
 VECTOR = T.StructType([*(T.StructField(c, T.StringType()) for c in ("id", "lang", "dataset", "kind")), T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("source_shard", T.IntegerType())])
-MINED = T.StructType.fromDDL("query_id string, query string, positive_ids array<string>, hard_negatives array<struct<passage_id:string,score:double,avg_pos_score:double,rank:int,lang:string>>")
-RUN = T.StructType.fromDDL("query_id string, doc_id string, score double")
-QRELS = T.StructType.fromDDL("query_id string, doc_id string, relevance int")
-SAMPLE = T.StructType.fromDDL("query string, positive array<string>, negative array<string>, lang string")
+_S, _D, _I = T.StringType(), T.DoubleType(), T.IntegerType()
+
+
+def _struct(**kinds) -> T.StructType:
+    return T.StructType([T.StructField(n, k) for n, k in kinds.items()])
+
+
+_NEGATIVE = _struct(passage_id=_S, score=_D, avg_pos_score=_D, rank=_I, lang=_S)
+MINED = _struct(query_id=_S, query=_S, positive_ids=T.ArrayType(_S), hard_negatives=T.ArrayType(_NEGATIVE))
+RUN = _struct(query_id=_S, doc_id=_S, score=_D)
+QRELS = _struct(query_id=_S, doc_id=_S, relevance=_I)
+SAMPLE = _struct(query=_S, positive=T.ArrayType(_S), negative=T.ArrayType(_S), lang=_S)
 IDENTITY = ["query_id", "passage_id", "lang", "dataset"]
 
 
