@@ -41,6 +41,8 @@ def knn_join(queries: DataFrame, passages: DataFrame, k: int, metric: str = "ip"
     ps = ps.withColumn("_p", F.pmod(F.xxhash64("key"), F.col("_pn"))).withColumn("_q", F.explode(one("_qn"))).drop("_pn", "_qn")
     qs = qs.withColumn("_q", F.pmod(F.xxhash64("key"), F.col("_qn"))).withColumn("_p", F.explode(one("_pn"))).drop("_pn", "_qn")
     on = [*scope, "_p", "_q"]
+    # names of their own: both sides may come from one table
+    ps = ps.select(*(F.col(c).alias(f"passage_{c}") for c in [*on, "key", "vector"]))
     kinds = dict(passages.dtypes) | dict(queries.dtypes)
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in scope), f"query {kinds['query']}, passage {kinds['passage']}, score double"])
 
@@ -48,9 +50,9 @@ def knn_join(queries: DataFrame, passages: DataFrame, k: int, metric: str = "ip"
         names = [*scope, "query", "passage", "score"]
         if not len(q) or not len(p):
             return pd.DataFrame({n: [] for n in names})
-        p = p.sort_values("key")
-        x, y = np.stack(q["vector"].values), np.stack(p["vector"].values)
-        ids, out = p["key"].values, []
+        p = p.sort_values("passage_key")
+        x, y = np.stack(q["vector"].values), np.stack(p["passage_vector"].values)
+        ids, out = p["passage_key"].values, []
         for at in range(0, len(x), 512):
             s = x[at : at + 512] @ y.T
             if metric == "l2":
@@ -70,7 +72,7 @@ def knn_join(queries: DataFrame, passages: DataFrame, k: int, metric: str = "ip"
             out[c] = v
         return out[names]
 
-    found = qs.groupBy(*on).cogroup(ps.groupBy(*on)).applyInPandas(best, schema)
+    found = qs.groupBy(*on).cogroup(ps.groupBy(*(f"passage_{c}" for c in on))).applyInPandas(best, schema)
     w = W.partitionBy(*scope, "query").orderBy(F.desc("score"), "passage")
     found = found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     return found.withColumn("score", -F.col("score") + F.lit(0.0)) if metric == "l2" else found

@@ -67,9 +67,9 @@ def _mining(spark, d):
     st = tmp.cut(_stored(spark, d))
     q = st.where("kind = 'query'").select("dataset", F.col("id").alias("query"), "lang", "item", "vector")
     p = st.where("kind = 'passage'").select("dataset", F.col("id").alias("passage"), "lang", "item", "vector")
-    base = _t(spark, d, "pairs").select("dataset", "query_id", "passage_id").distinct()
-    pos = q.withColumnRenamed("vector", "qv").withColumnRenamed("lang", "ql").join(base, (q["item"] == base["query_id"]) & (q["dataset"] == base["dataset"])).select(q["dataset"], "query", "ql", "qv", "passage_id")
-    pos = pos.join(p.withColumnRenamed("dataset", "pd"), (F.col("passage_id") == p["item"]) & (F.col("dataset") == F.col("pd")))
+    base = _t(spark, d, "pairs").select("dataset", F.col("query_id").alias("item"), "passage_id").distinct()
+    pos = q.select("dataset", "query", "item", F.col("lang").alias("ql"), F.col("vector").alias("qv")).join(base, ["dataset", "item"]).drop("item")
+    pos = pos.join(p.select("dataset", "passage", F.col("item").alias("passage_id"), "lang", "vector"), ["dataset", "passage_id"])
     pos = tmp.cut(pos.select("query", "passage", (F.col("ql") == F.col("lang")).alias("same_lang"), F.round(vector.dot("qv", "vector"), 9).alias("score")).distinct())
     ref = tmp.cut(mining.reference_scores(pos))
     mined = mining.mine(q.select("dataset", "query", "vector"), p.select("dataset", "passage", "vector"), pos, ref, k0=8, k_max=64, n_min=3, scope=("dataset",))
