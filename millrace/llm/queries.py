@@ -92,5 +92,31 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: globals()[n] for n in names}
 
 
+
+def _strip(x: str) -> str:
+    return f"regexp_replace({x}, '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+
+
+_DATASET = f"lower({_strip('dataset')})"
+_NOW = f"""now as (select * from (select root, {_DATASET} as ds, row_count, shard_id,
+  row_number() over (partition by root order by assigned_at desc nulls last, row_count desc nulls last, shard_id desc nulls last, {_DATASET} desc nulls last) as rn from component_assignments where root is not null) where rn = 1)"""
+_KEY = ", ".join(f"{_strip(f'coalesce({c}, {chr(39) * 2})')} as {c}" for c in ("kind", "value", "lang", "dataset"))
+_GROUPS = f"""ids as (select distinct id from nodes where id is not null), ks as (select distinct {_KEY}, node_id from scoped_keys where node_id is not null),
+  hub as (select kind, value, lang, dataset, min(node_id) as h from ks group by all),
+  links as (select n.id as a, n.parent as b from nodes n where n.parent in (select id from ids) union select k.node_id, hub.h from ks k join hub using (kind, value, lang, dataset)),
+  both_ways as (select a, b from links where a <> b union select b, a from links where a <> b),
+  reach(node, root) as (select id, id from ids union select e.b, r.root from reach r join both_ways e on e.a = r.node where r.root < e.b),
+  grp as (select node as node_id, min(root) as group_id from reach group by node)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the results that SQL can give on whole tables; the others are tested against brute force."""
+    return {
+        "p2_found": f"with {_NOW} select root from now join shard_capacity c on c.dataset = now.ds where now.row_count > c.capacity",
+        "p3_found": f"with recursive {_GROUPS} select node_id, group_id from grp",
+        "p4_found": f"""with recursive {_GROUPS}, {_NOW}, gs as (select distinct g.group_id, now.shard_id from now join grp g on g.node_id = now.root where now.shard_id is not null)
+          select ks.dataset, ks.kind, ks.value from ks join grp g on g.node_id = ks.node_id join gs on gs.group_id = g.group_id group by all having count(distinct gs.shard_id) > 1""",
+        "p7_found": f"""with t as (select lower({_strip('source')}) as source, sum(target_share) as share, max(max_repeats) as cap from mix_targets group by 1),
+          s as (select lower({_strip('source')}) as source, sum(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\\s\\p{{Z}}]+'), lambda x: x <> ''))) as size from documents group by 1),
+          j as (select t.*, coalesce(s.size, 0) as size from t left join s on s.source = t.source) select source from j where cap * size < share * (select sum(size) from j)""",
+    }

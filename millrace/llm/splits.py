@@ -7,9 +7,12 @@ first, each into the split that needs that label most.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..session import Scratch
@@ -125,11 +128,24 @@ def grouped_split(spark: SparkSession, nodes: DataFrame, keys: DataFrame, target
     # one row for each label
     wanted = tmp.cut(open_.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(fit, "label string, light long, want array<double>"))
 
-    def later(pdf: pd.DataFrame) -> pd.DataFrame:
-        want = {k: list(np.asarray(g["want"].iloc[0]) * g["n"].sum() / max(g["light"].iloc[0], 1)) for k, g in pdf.groupby("label")}
-        return place(pdf, want)
+    # each task gets whole records of each label and split, so that even a label with few records reaches all splits:
+    # along the tasks the wants are added up, and a task gets what the sum's whole part grows by; train has the rest
+    cells = light.groupBy("label", "part").agg(F.sum("n").alias("here"))
+    cells = tmp.cut(cells.withColumn("before", F.coalesce(F.sum("here").over(W.partitionBy("label").orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))))
+    largest = max(range(len(names)), key=lambda i: (shares[i], -i))
 
-    spread = light.join(wanted, "label").groupBy("part").applyInPandas(later, schema)
+    def later(pdf: pd.DataFrame) -> pd.DataFrame:
+        want = {}
+        for k, g in pdf.groupby("label"):
+            here, before, all_ = (float(g[c].iloc[0]) for c in ("here", "before", "light"))
+            w = np.asarray(g["want"].iloc[0]) / max(all_, 1.0)
+            phase = np.array([(zlib.crc32(f"{k}/{i}".encode()) % 997) / 997 for i in range(len(names))])
+            got = np.floor((before + here) * w + phase) - np.floor(before * w + phase)
+            got[largest] = here - (got.sum() - got[largest])
+            want[k] = list(got)
+        return place(pdf[["component", "label", "n"]], want)
+
+    spread = light.join(cells, ["label", "part"]).join(wanted, "label").groupBy("part").applyInPandas(later, schema)
     final = tmp.cut(chosen.unionByName(spread))
     word = F.element_at(F.array(*(F.lit(n) for n in names)), F.col("split") + 1)
     entities = rows.select("dataset", "kind", "value", "component").distinct()
