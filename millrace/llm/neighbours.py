@@ -22,12 +22,13 @@ from .hnsw import Hnsw
 
 #: Vectors of one kind that the centroids are fitted on, at most.
 SAMPLE = 32_768
-#: Vectors of a shard, about; a cluster with more is dealt to several shards, which are all searched.
-SHARD = 8192
+#: Vectors of a shard, about, and at most once the number of centroids is at its bound. A cluster with more than twice
+#: as many is dealt to several shards, which are all searched.
+SHARD, WIDEST = 2048, 65_536
 #: Centroids of one kind, at most.
-CENTROIDS = 2048
-#: Shards' clusters searched for each vector, its own included.
-PROBES = 4
+CENTROIDS = 4096
+#: Clusters searched for each vector, its own included.
+PROBES = 3
 
 
 def usable_vectors(store: DataFrame, dim: int = 128) -> DataFrame:
@@ -68,7 +69,7 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.n
     return c.astype(np.float32)
 
 
-def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 128, ef: int = 96, probes: int = PROBES, shard: int = SHARD) -> DataFrame:
+def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 128, ef: int = 64, probes: int = PROBES, shard: int = SHARD) -> DataFrame:
     """``(kind, id, other, rank, similarity)``: the ``k`` most similar other ids of the same kind for every id with a
     usable vector (see :func:`usable_vectors`); ties go to the smaller id. An id alone in its kind has no row.
 
@@ -85,6 +86,7 @@ def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 1
     for kind, n in sorted(sizes.items()):
         sample = reps.where(F.col("kind") == kind).select("vec", "m").orderBy("m").limit(SAMPLE).collect()  # bounded: SAMPLE vectors
         parts = min(CENTROIDS, -(-n // shard), max(1, len(sample) // 8))
+        shard = max(shard, min(WIDEST, n // parts))
         centroids[kind] = fit_centroids(_rows([r["vec"] for r in sample], dim), parts)
     fitted = spark.sparkContext.broadcast(centroids)  # CENTROIDS vectors a kind at most
 
@@ -101,12 +103,16 @@ def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 1
     # clusters by size: how many shards hold their vectors, and how many blocks of visitors each shard gets
     counts = routed.groupBy("kind", "cluster").agg(F.count_if("own").alias("n"), F.count("*").alias("all"))
     plan = counts.select("kind", "cluster", F.greatest(F.lit(1), F.ceil(F.col("n") / (2 * shard))).alias("shards"), F.greatest(F.lit(1), F.ceil(F.col("all") / (8 * shard))).alias("blocks"))
-    planned = routed.join(tmp.cut(plan), ["kind", "cluster"])
+    plan = tmp.cut(plan)
+    tasks = plan.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1
+    planned = routed.join(plan, ["kind", "cluster"])
     h = F.xxhash64("m")
     stored = planned.where("own").withColumn("shard", F.pmod(h, F.col("shards"))).withColumn("block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("long")))).withColumn("stored", F.lit(True))
     asked = planned.withColumn("block", F.pmod(F.xxhash64("m", F.lit(1)), F.col("blocks"))).withColumn("shard", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("long")))).withColumn("stored", F.lit(False))
     cols = ["kind", "cluster", "shard", "block", "stored", "m", "vec"]
     both = stored.select(*cols).unionByName(asked.select(*cols))
+    # a search is much work on few bytes: a partition for each shard, which is not to be merged by its size
+    both = both.repartition(int(min(tasks, 20_000)), "kind", "cluster", "shard", "block")
 
     def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         held = pdf[pdf["stored"]].sort_values("m")
