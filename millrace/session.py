@@ -78,4 +78,4 @@ class Scratch:
 def small(df: DataFrame, most_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast if it holds at most ``most_rows`` rows (counted); beyond that the
     planner joins by shuffle. Meant for tables that :class:`Scratch` wrote, where counting is cheap."""
-    return F.broadcast(df) if df.limit(most_rows + 1).count() <= most_rows else df
+    return F.broadcast(df) if df.count() <= most_rows else df
