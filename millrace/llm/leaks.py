@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from ..session import Scratch, small
 from . import charform
 
-#: Terms of test items up to this number travel to the executors as one array of 8-byte hashes (16 MB at most).
-MOST_TERMS = 2_000_000
+#: Terms of test items up to this number travel to the executors as one array of 8-byte hashes (4 MB at most), and
+#: tables with as many rows are broadcast; beyond it both are joined by shuffle.
+MOST_TERMS = 500_000
 
 
 class _Terms(dict):
@@ -78,7 +79,7 @@ def leaked_passages(spark: SparkSession, documents: DataFrame, items: DataFrame,
     items = items.select(item_id, text_col).distinct()
     words = tmp.cut(postings(items, item_id, text_col).withColumnRenamed("id", "item").distinct())
     vocabulary = words.select("term").distinct()
-    few = vocabulary.limit(MOST_TERMS + 1).count() <= MOST_TERMS
+    few = vocabulary.count() <= MOST_TERMS
     only = None
     if few:
         only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in vocabulary.collect()], np.int64)))
@@ -102,7 +103,7 @@ def leaked_passages(spark: SparkSession, documents: DataFrame, items: DataFrame,
     candidates = tmp.cut(first.join(second, ["term", "id", "pos"], "left_semi").select("id", "item", "n", "shift").distinct())
 
     # all words of the candidates at their shift; runs of consecutive positions
-    of_docs = index.join(small(candidates.select("id").distinct(), 200_000), "id", "left_semi")
+    of_docs = index.join(small(candidates.select("id").distinct(), MOST_TERMS), "id", "left_semi")
     at = words.select("item", "term", F.col("pos").alias("off"))
     agree = candidates.join(at, "item").withColumn("pos", F.col("shift") + F.col("off")).join(of_docs, ["id", "term", "pos"])
     shift = W.partitionBy("id", "item", "shift")

@@ -58,17 +58,25 @@ def fit_centroids(x: np.ndarray, k: int, rounds: int = 8, seed: int = 7) -> np.n
     rng = np.random.default_rng(seed)
     c = x[rng.choice(len(x), k, replace=False)].copy()
     for _ in range(rounds):
-        s = x @ c.T
-        of = s.argmax(1)
+        of, best = np.empty(len(x), np.int64), np.empty(len(x), np.float32)
+        for at in range(0, len(x), 2048):  # a block of similarities at a time
+            s = x[at : at + 2048] @ c.T
+            of[at : at + 2048], best[at : at + 2048] = s.argmax(1), s.max(1)
         total = np.zeros_like(c)
         np.add.at(total, of, x)
         empty = np.bincount(of, minlength=k) == 0
         if empty.any():
-            total[empty] = x[np.argsort(s.max(1))[: int(empty.sum())]]
+            total[empty] = x[np.argsort(best)[: int(empty.sum())]]
         c = total / np.maximum(np.sqrt((total * total).sum(1, keepdims=True)), 1e-12)
     return c.astype(np.float32)
 
 
+def _nearest(s: np.ndarray, w: int) -> np.ndarray:
+    """The columns of the ``w`` largest numbers of each row, largest first."""
+    top = np.argpartition(-s, w - 1, axis=1)[:, :w]
+    return np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1, kind="stable"), 1)
+
+
 def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 128, ef: int = 64, probes: int = PROBES, shard: int = SHARD) -> DataFrame:
     """``(kind, id, other, rank, similarity)``: the ``k`` most similar other ids of the same kind for every id with a
     usable vector (see :func:`usable_vectors`); ties go to the smaller id. An id alone in its kind has no row.
@@ -95,8 +103,8 @@ def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 1
             for kind, part in pdf.groupby("kind"):
                 c = fitted.value[kind]
                 w = min(probes, len(c))
-                s = _rows(part["vec"], dim) @ c.T
-                near = np.argsort(-s, axis=1, kind="stable")[:, :w]
+                x = _rows(part["vec"], dim)
+                near = np.concatenate([_nearest(x[at : at + 2048] @ c.T, w) for at in range(0, len(x), 2048)])
                 yield pd.DataFrame({"kind": kind, "m": np.repeat(part["m"].values, w), "vec": np.repeat(part["vec"].values, w), "cluster": near.ravel(), "own": np.tile(np.arange(w) == 0, len(part))})
 
     routed = tmp.cut(reps.mapInPandas(route, "kind string, m string, vec binary, cluster int, own boolean"))
