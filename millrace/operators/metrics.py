@@ -21,11 +21,11 @@ def truncate_run(run: DataFrame, k: int, by: list[str] = ("query_id",)) -> DataF
     return rank_run(run, by).where(F.col("rk") <= k)
 
 
-def query_metrics(run: DataFrame, qrels: DataFrame, cutoffs=CUTOFFS) -> DataFrame:
+def query_metrics(run: DataFrame, qrels: DataFrame, cutoffs=CUTOFFS, places: int = 9) -> DataFrame:
     """One row for each judged query: NDCG (linear gain, log2), MAP, recall and precision at each cut-off, reciprocal
     rank, accuracy (any hit) and average precision over the whole list (equal scores share one threshold).
 
-    Every query with a relevant judgement has a row; one without results has zeros. Relevance 0 and null is not relevant."""
+    Figures are rounded to ``places``; take many where means are to be rounded again. Every query with a relevant judgement has a row; one without results has zeros. Relevance 0 and null is not relevant."""
     key = ["query_id"]
     judged = qrels.where("relevance > 0").groupBy("query_id", "doc_id").agg(F.max("relevance").alias("relevance"))
     ideal = judged.withColumn("i", F.row_number().over(W.partitionBy(*key).orderBy(F.desc("relevance"), "doc_id")))
@@ -41,9 +41,9 @@ def query_metrics(run: DataFrame, qrels: DataFrame, cutoffs=CUTOFFS) -> DataFram
         top = F.col("rk") <= k
         aggs += [F.sum(F.when(top, gain("rk")).otherwise(0.0)).alias(f"dcg{k}"), F.sum(F.when(top & (F.col("hit") == 1), F.col("hits") / F.col("rk")).otherwise(0.0)).alias(f"aps{k}"), F.sum(F.when(top, F.col("hit")).otherwise(0)).alias(f"h{k}")]
     m = ideals.join(r.groupBy(*key).agg(*aggs), key, "left")
-    out = [F.round(F.coalesce(F.col("ap_sum") / F.col("n_rel"), F.lit(0.0)), 9).alias("ap")]
+    out = [F.round(F.coalesce(F.col("ap_sum") / F.col("n_rel"), F.lit(0.0)), places).alias("ap")]
     for k in cutoffs:
-        z = lambda c: F.round(F.coalesce(c, F.lit(0.0)), 9)
+        z = lambda c: F.round(F.coalesce(c, F.lit(0.0)), places)
         out += [
             z(F.col(f"dcg{k}") / F.col(f"idcg{k}")).alias(f"ndcg_{k}"), z(F.col(f"aps{k}") / F.col("n_rel")).alias(f"map_{k}"), z(F.col(f"h{k}") / F.col("n_rel")).alias(f"recall_{k}"),
             z(F.col(f"h{k}") / F.lit(float(k))).alias(f"p_{k}"), z(F.when(F.col("first") <= k, 1.0 / F.col("first"))).alias(f"mrr_{k}"), F.coalesce((F.col("first") <= k).cast("int"), F.lit(0)).alias(f"accuracy_{k}"),

@@ -120,7 +120,7 @@ def rank_metrics(spark, d):
 
 def _by_label(spark, d):
     run, qrels, q = _run(spark, d)
-    return metrics.query_metrics(run, qrels, (1, 3, 10, 100)).select("query_id", "ap", *_METRICS).join(q, "query_id").withColumnRenamed("label", "dataset")
+    return metrics.query_metrics(run, qrels, (1, 3, 10, 100), places=13).select("query_id", "ap", *_METRICS).join(q, "query_id").withColumnRenamed("label", "dataset")
 
 
 def rank_metrics_by_group(spark, d):
@@ -128,7 +128,7 @@ def rank_metrics_by_group(spark, d):
 
 
 def macro_metrics(spark, d):
-    return metrics.macro_metrics(metrics.mean_metrics(_by_label(spark, d), ["dataset"]).withColumn("dataset", F.col("dataset").cast("string")))
+    return metrics.macro_metrics(metrics.mean_metrics(_by_label(spark, d), ["dataset"], places=13).withColumn("dataset", F.col("dataset").cast("string")))
 
 
 def _bm25(spark, d, k):
@@ -182,7 +182,8 @@ _EVAL = f"""{_KNN_IP}, qr as (select q.vec_id as query_id, p.vec_id as doc_id, c
     from run left join qr on qr.query_id = run.query_id and qr.doc_id = run.doc_id),
   per as (select i.query_id, round(coalesce(sum(case when rel > 0 then th / tn end) / any_value(i.n_rel), 0), 9) as ap, {_AT} from ideal i left join j on j.query_id = i.query_id group by 1)"""
 _MEANS = ", ".join(f"round(avg({m}), 7) as {m}" for m in ["ap", *_METRICS])
-_GROUPED = f"{_EVAL}, g as (select e.label as dataset, count(*) as queries, {_MEANS} from per join embeddings e on e.vec_id = per.query_id group by 1)"
+_MEANS_BY = ", ".join(f"round({m}, 7) as {m}" for m in ["ap", *_METRICS])
+_GROUPED = f"{_EVAL.replace(', 9) as', ', 13) as').replace(', 9)::', ', 13)::')}, g as (select e.label as dataset, count(*) as queries, {_MEANS.replace(', 7) as', ', 13) as')} from per join embeddings e on e.vec_id = per.query_id group by 1)"
 
 _WORDS = "regexp_extract_all(lower(coalesce(text, '')), '[\\p{L}\\p{N}]+')"
 _BM25 = f"""dt as (select doc_id, {_WORDS} as w from documents), st as (select count(*) as n_docs, avg(len(w)) as avg_len from dt),
@@ -209,7 +210,7 @@ QUERIES = {
       u as (select query, passage, max(score) as score, max(rank) as rank from (select query, passage, score, rank from mined union all select query, passage, score, rank from pl) group by 1, 2)
       select query, passage, round(score, 6) as score, rank, cast(row_number() over (partition by query order by u.score desc, passage desc) as int) as n from u"""),
     "rank_metrics": (rank_metrics, f"with {_EVAL} select * from per"),
-    "rank_metrics_by_group": (rank_metrics_by_group, f"with {_GROUPED} select * from g"),
+    "rank_metrics_by_group": (rank_metrics_by_group, f"with {_GROUPED} select dataset, queries, {_MEANS_BY} from g"),
     "macro_metrics": (macro_metrics, f"with {_GROUPED} select count(*) as datasets, {_MEANS} from g"),
     "bm25_topk": (bm25_topk, f"with {_BM25} select query_id, doc_id, score, cast(rk as int) as rk from bm"),
     "run_truncate": (run_truncate, f"with {_BM25} select query_id, doc_id, score, cast(rk as int) as rk from bm where rk <= 5"),

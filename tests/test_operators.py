@@ -195,7 +195,7 @@ def test_compile_drops_and_fallback(spark):
 
 
 def test_store_outcomes(spark):
-    v = [("a", [1.0, 2.0], 1), ("a", [1.0, 2.0], 2), ("a", [1.0, 2.0], 1), ("a", [1.00001, 2.0], 3), ("a", [1.1, 2.0], 4), ("a", [1.0], 5), ("b", [0.0, 0.0], 0), ("b", None, 0), ("b", [3.0, None], 0), ("b", [3.0, 4.0], None)]
+    v = [("a", [1.0, 2.0], 1), ("a", [1.0, 2.0], 2), ("a", [1.0, 2.0], 1), ("a", [1.000005, 2.0], 3), ("a", [1.1, 2.0], 4), ("a", [1.0], 5), ("b", [0.0, 0.0], 0), ("b", None, 0), ("b", [3.0, None], 0), ("b", [3.0, 4.0], None)]
     df = spark.createDataFrame([("d", "query", i, "en", e, s) for i, e, s in v], "dataset string, kind string, id string, lang string, embedding array<float>, source_shard int")
     got = {r["kind"]: (r["written"], r["duplicates"], r["conflicts"]) for r in store.outcome_counts(store.resolve(df)).collect()}
     assert got == {"query": (2, 3, 2)}
