@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +27,9 @@ FREQUENT = 1 / 20_000
 #: (smallest, largest set, words in a hashed subset). A pair of sets is found in the band that holds both: bands overlap so that
 #: each holds 0.7 of the next one's sizes. Small sets agree to 0.7 only if they are equal (up to 2) or share 3 words.
 BANDS = ((3, 24, 3), (17, 80, 2), (56, 1 << 40, 1))
+#: A hash that more sets than this hold on both sides is hot: its sets aren't compared but hashed by one more word, as long as
+#: no set gets more than MOST_HASHES by that. Beyond, the sets share so many words that they are compared.
+HOT, MOST_HASHES = 64, 500
 
 
 def _hash(parts: bytes) -> int:
@@ -61,7 +65,11 @@ def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, bands=
     """``(scope, a, b)``: pairs of sets of ``sets(scope, set_id, words, left, right)`` in one scope, ``a`` marked left and
     ``b`` marked right, whose words agree to ``threshold`` (common / both together). A set agrees with itself.
 
-    Exact for thresholds of at least 0.7 (the bands rest on it). One row per set and scope is expected."""
+    Exact for thresholds of at least 0.7 (the bands rest on it). One row per set and scope is expected.
+
+    A hot hash doesn't lead to all pairs of the sets that hold it: it is made longer, word by word, until few sets share it, or
+    its words alone make the sets agree, or the sets share most of their words (then they are compared). Two sets that
+    agree to more words than a hash has share a longer one, too."""
     if threshold < 0.7:
         raise ValueError("the bands are made for thresholds of 0.7 and more")
     tmp = tmp or Scratch(spark, "p1")
@@ -73,40 +81,89 @@ def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, bands=
     order = spark.sparkContext.broadcast(often)
     per_mille = round(threshold * 1000)
 
+    cols = ["key", "scope", "set_id", "n", "left", "right", "last", "level"]
+    schema = "key long, scope long, set_id long, n int, left boolean, right boolean, last int, level int"
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32()]
+
+    def head(n: int, size: int) -> int:
+        """So many first words of a set of ``n`` hold ``size`` words of any set that agrees with it."""
+        return min(n, n - -(-n * per_mille // 1000) + size)
+
+    def emit(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple] = []
+        for row in found:
+            out.append(row)
+            if len(out) >= 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], cols)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], cols)
+
+    def chain(key: int, word: int) -> int:
+        return _hash(key.to_bytes(8, "little", signed=True) + word.to_bytes(8, "little", signed=True))
+
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = order.value
-        for b in batches:
-            scopes, ids = b.column(0).to_pylist(), b.column(1).to_pylist()
-            words, left, right = b.column(2).to_pylist(), b.column(3).to_pylist(), b.column(4).to_pylist()
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-
-            def flush():
-                return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.bool_()), pa.array(out[5], pa.bool_())], ["key", "scope", "set_id", "n", "left", "right"])
-
-            for i, w in enumerate(words):
-                n = len(w)
-                found = [ids[i]] if n < 3 else []
-                w = sorted(w, key=lambda x: (rank.get(x, 0), x))
-                for lo, hi, size in bands:
-                    if n >= 3 and lo <= n <= hi:
-                        first = n - -(-n * per_mille // 1000) + size
-                        head = np.asarray(sorted(w[: min(n, first)]), np.int64)
-                        for c in combinations(range(len(head)), min(size, len(head))):
-                            found.append(_hash(head[list(c)].tobytes() + b"%d" % size))
-                for h in found:
-                    for col, x in zip(out, (h, scopes[i], ids[i], n, left[i], right[i])):
-                        col.append(x)
-                if len(out[0]) > 100_000:
-                    yield flush()
-                    out = ([], [], [], [], [], [])
-            yield flush()
-
-    k = sets.select("scope", "set_id", "words", "left", "right").mapInArrow(keys, "key long, scope long, set_id long, n int, left boolean, right boolean")
-    k = tmp.cut(k)
-    a = k.where("left").select("key", "scope", F.col("set_id").alias("a"), F.col("n").alias("na"))
-    b = k.where("right").select("key", "scope", F.col("set_id").alias("b"), F.col("n").alias("nb"))
-    near = a.join(b, ["key", "scope"]).where(f"na * 1000 >= nb * {per_mille} and nb * 1000 >= na * {per_mille}").select("scope", "a", "b").distinct()
+
+        def found():
+            for b in batches:
+                for scope, i, w, left, right in zip(*(c.to_pylist() for c in b.columns)):
+                    n = len(w)
+                    if n < 3:  # agrees with itself only
+                        yield i, scope, i, n, left, right, n, n
+                        continue
+                    w.sort(key=lambda x: (rank.get(x, 0), x))
+                    for lo, hi, size in bands:
+                        if lo <= n <= hi:
+                            for c in combinations(range(head(n, size)), min(size, n)):
+                                key = size
+                                for p in c:
+                                    key = chain(key, w[p])
+                                yield key, scope, i, n, left, right, c[-1], size
+
+        return emit(found())
+
+    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The hashes of a hot one with one of the words after its last."""
+        rank = order.value
+
+        def found():
+            for b in batches:
+                for key, scope, i, n, left, right, last, level, w in zip(*(c.to_pylist() for c in b.columns)):
+                    w.sort(key=lambda x: (rank.get(x, 0), x))
+                    for p in range(last + 1, head(n, level + 1)):
+                        yield chain(key, w[p]), scope, i, n, left, right, p, level + 1
+
+        return emit(found())
+
+    # the largest set that may be hashed by one word more, for each number of words
+    longest = [max((n for n in range(1, 400) if comb(head(n, level + 1), level + 1) <= MOST_HASHES), default=0) for level in range(1, 41)]
+    may = F.col("n") <= F.try_element_at(F.array(*(F.lit(n) for n in longest)), F.col("level"))
     words = sets.select("scope", "set_id", "words")
+    k = tmp.cut(sets.select("scope", "set_id", "words", "left", "right").mapInArrow(keys, schema))
+    near = None
+    while True:
+        sides = k.groupBy("key", "scope").agg(F.count_if("left").alias("l"), F.count_if("right").alias("r"), F.min(F.coalesce(may, F.lit(False))).alias("may")).where("l > 0 and r > 0")
+        sides = tmp.cut(sides.select("key", "scope", ((F.col("l") > HOT) & (F.col("r") > HOT) & F.col("may")).alias("hot")))
+        some = k.join(sides, ["key", "scope"])
+        cold, hot = some.where("not hot"), tmp.cut(some.where("hot").drop("hot"))
+        a = cold.where("left").select("key", "scope", F.col("set_id").alias("a"), F.col("n").alias("na"))
+        b = cold.where("right").select("key", "scope", F.col("set_id").alias("b"), F.col("n").alias("nb"))
+        found = a.join(b, ["key", "scope"]).where(f"na * 1000 >= nb * {per_mille} and nb * 1000 >= na * {per_mille}").select("scope", "a", "b")
+        any_hot = not hot.isEmpty()
+        if any_hot:
+            # sets so small that the words of the hash are all they need to share are joined by both sizes: these do agree
+            sizes = F.expr(f"filter(sequence(cast(ceil(n * {per_mille} / 1000) as int), cast(floor(n * 1000 / {per_mille}) as int)), y -> {per_mille} * (n + y) <= level * {1000 + per_mille})")
+            enough = hot.withColumn("other", F.explode(sizes))
+            a = enough.where("left").select("key", "scope", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("other").alias("nb"))
+            b = enough.where("right").select("key", "scope", F.col("set_id").alias("b"), F.col("other").alias("na"), F.col("n").alias("nb"))
+            found = found.unionByName(a.join(b, ["key", "scope", "na", "nb"]).select("scope", "a", "b"))
+        found = tmp.cut(found.distinct())
+        near = found if near is None else near.unionByName(found)
+        if not any_hot:
+            break
+        k = tmp.cut(hot.join(words, ["scope", "set_id"]).select(*cols, "words").mapInArrow(longer, schema))
+    near = near.distinct()
     near = near.join(words.select("scope", F.col("set_id").alias("a"), F.col("words").alias("wa")), ["scope", "a"])
     near = near.join(words.select("scope", F.col("set_id").alias("b"), F.col("words").alias("wb")), ["scope", "b"])
     both = F.size(F.array_intersect("wa", "wb"))

@@ -45,7 +45,7 @@ def test_overlap_of_a_query_that_many_share(spark):
 
 
 @pytest.mark.parametrize("seed", range(2))
-def test_agreeing_sets_lose_nothing(spark, seed):
+def test_agreeing_sets_lose_nothing(spark, seed, monkeypatch):
     """Sets of all sizes around the borders of the bands, made by changing some words of others."""
     rng = random.Random(seed)
     sets = []
@@ -63,6 +63,16 @@ def test_agreeing_sets_lose_nothing(spark, seed):
     want = sorted((0, i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i % 2 == 0 and j % 3 > 0 and len(set(a) & set(b)) * 10 >= 7 * len(set(a) | set(b)))
     assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want and len(want) > 100
     assert rows(overlap.agreeing_sets(spark, df, 0.7, bands=((3, 1 << 40, 1),))) == want
+    monkeypatch.setattr(overlap, "HOT", 0)  # every shared hash is hot and made longer
+    assert rows(overlap.agreeing_sets(spark, df, 0.7, bands=((3, 1 << 40, 1),))) == want
+
+
+def test_a_phrase_that_many_queries_share(spark):
+    """Two thousand queries differ in one word of four: none agree, and no hash leads to all pairs of them."""
+    data = [(0, i, sorted([1, 2, 3, 100 + i]), i % 2 == 0, i % 2 == 1) for i in range(2000)] + [(0, 5000, [1, 2, 3], True, True)]
+    df = spark.createDataFrame(data, "scope long, set_id long, words array<bigint>, left boolean, right boolean")
+    want = [(0, i, 5000) for i in range(0, 2000, 2)] + [(0, 5000, i) for i in range(1, 2000, 2)] + [(0, 5000, 5000)]
+    assert rows(overlap.agreeing_sets(spark, df, 0.7)) == sorted(want)
 
 
 # -- 2 --------------------------------------------------------------------------------------------------------
