@@ -72,7 +72,7 @@ def _mining(spark, d):
     pos = pos.join(p.select("dataset", "passage", F.col("item").alias("passage_id"), "lang", "vector"), ["dataset", "passage_id"])
     pos = tmp.cut(pos.select("query", "passage", (F.col("ql") == F.col("lang")).alias("same_lang"), F.round(vector.dot("qv", "vector"), 9).alias("score")).distinct())
     ref = tmp.cut(mining.reference_scores(pos))
-    mined = mining.mine(q.select("dataset", "query", "vector"), p.select("dataset", "passage", "vector"), pos, ref, k0=8, k_max=64, n_min=3, scope=("dataset",))
+    mined = mining.mine(q.select("dataset", "query", "vector"), p.select("dataset", "passage", "vector"), pos, ref, scope=("dataset",))
     return tmp.cut(mined), pos, ref
 
 
@@ -94,7 +94,7 @@ def hard_negative_nested(spark, d):
 def merged_negatives(spark, d):
     """The mined list merged with the plain nearest passages of the same queries."""
     m, pos, ref = _mining(spark, d)
-    plain = mining.mine(*(_sides(spark, d)), pos, ref, k0=8, k_max=8, n_min=3, margin=-1000.0, scope=("dataset",))
+    plain = mining.mine(*(_sides(spark, d)), pos, ref, margin=-1000.0, scope=("dataset",))
     return mining.merge_negatives(m, plain).withColumn("score", F.round("score", 6))
 
 

@@ -27,8 +27,12 @@ def lang_permutations(spark, d):
     return training_rows.permutations(_pair_keys(spark, d))
 
 
-def _compiled(spark, d, n=2):
-    """Rows compiled from the pairs and, as mined lists, what mining over the store found (two negatives a row)."""
+#: Negatives of a compiled row.
+NEGATIVES = 8
+
+
+def _compiled(spark, d, n=NEGATIVES):
+    """Rows compiled from the pairs and, as mined lists, what mining over the store found."""
     tmp = Scratch(spark, "compile")
     mined = retrieval_queries._mining(spark, d)[0]
     q = F.regexp_extract("query", "^(.*)_([^_]*)$", 1)
@@ -47,7 +51,7 @@ def compile_training_rows(spark, d):
     p = _t(spark, d, "pairs").where("lang is not null").withColumn("lang", F.lower(F.trim("lang")))
     qt = coverage.last_row(p, ["dataset", "query_id", "lang"], "query", F.col("loaded_at")).withColumnRenamed("query", "text")
     pt = coverage.last_row(p, ["dataset", "passage_id", "lang"], "passage", F.col("loaded_at")).withColumnRenamed("passage", "text")
-    return training_rows.with_texts(rows, qt, pt, 2)
+    return training_rows.with_texts(rows, qt, pt, NEGATIVES)
 
 
 def compile_drop_stats(spark, d):
