@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keys import first_non_empty, normalize, strip
 from ..functions.text import clean, jaccard, tokens
+from ..session import small
+from .bm25 import analyze
+
+#: Runs of words of a benchmark up to this number are broadcast to the corpus.
+MOST_RUNS = 500_000
 
 
 def dataset_counts(df: DataFrame, column: str = "dataset", top: int = 20) -> DataFrame:
@@ -64,14 +69,36 @@ def invalid_samples(samples: DataFrame) -> DataFrame:
     return samples.agg(F.count("*").alias("samples"), F.count_if(q).alias("without_query"), F.count_if(~q & p).alias("without_positive"))
 
 
-def benchmark_overlap(benchmark: DataFrame, corpus: DataFrame, bench_id: str = "item_id", corpus_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(bench_id, documents, verdict)``: how many corpus texts equal an item's once case and white space are set aside;
-    ``exclude`` if any, else ``keep``. Items without text are kept."""
+def _grams(words, n) -> Column:
+    """Hashes of the runs of ``n`` consecutive ``words`` (by their hashes); none if there are fewer."""
+    starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.xxhash64(F.slice(words, i, n)))
+
+
+def benchmark_overlap(benchmark: DataFrame, corpus: DataFrame, bench_id: str = "item_id", corpus_id: str = "doc_id", text: str = "text", n: int = 12) -> DataFrame:
+    """``(bench_id, documents, near_documents, containment, verdict)``: how many corpus texts equal an item's once case and white
+    space are set aside; how many share a run of ``n`` words with it (all of its words if it has fewer); the largest share
+    of its runs that one text holds. ``exclude`` if any text is equal or shares a run, else ``keep``. Items without text
+    are kept; those without words can be equal only.
+
+    Runs are compared by 64-bit hash; only the item's runs travel to the corpus if they are few."""
     form = F.md5(F.regexp_replace(F.lower(strip(normalize(text))), r"(?U)\s+", " "))
     b = benchmark.where(strip(normalize(text)) != "").select(bench_id, form.alias("h"))
     c = corpus.where(strip(normalize(text)) != "").groupBy(form.alias("h")).agg(F.count(corpus_id).alias("documents"))
     hit = b.join(c, "h").groupBy(bench_id).agg(F.sum("documents").alias("documents"))
-    return benchmark.select(bench_id).distinct().join(hit, bench_id, "left").select(bench_id, F.coalesce("documents", F.lit(0)).alias("documents"), F.when(F.col("documents") > 0, "exclude").otherwise("keep").alias("verdict"))
+
+    size = F.least(F.size("w"), F.lit(n))
+    hashes = F.transform(analyze(text), lambda x: F.xxhash64(x)).alias("w")
+    w = benchmark.select(bench_id, hashes).distinct().where(F.size("w") > 0).select(bench_id, F.xxhash64("w").alias("of"), size.alias("n"), F.array_distinct(_grams(F.col("w"), size)).alias("g"))
+    runs = w.select(bench_id, "of", "n", F.size("g").alias("all"), F.explode("g").alias("g"))
+    lengths = F.broadcast(runs.select("n").distinct())  # n rows at most
+    texts = corpus.select(F.col(corpus_id).alias("_doc"), hashes).crossJoin(lengths).select("_doc", "n", F.explode(_grams(F.col("w"), F.col("n"))).alias("g"))
+    near = texts.join(small(runs, MOST_RUNS), ["n", "g"]).groupBy(bench_id, "of", "_doc").agg((F.count_distinct("g") / F.first("all")).alias("part"))
+    near = near.groupBy(bench_id).agg(F.count_distinct("_doc").alias("near_documents"), F.round(F.max("part"), 9).alias("containment"))
+    out = benchmark.select(bench_id).distinct().join(hit, bench_id, "left").join(near, bench_id, "left")
+    exclude = (F.col("documents") > 0) | F.col("containment").isNotNull()
+    zero = lambda x: F.coalesce(x, F.lit(0)).alias(x)
+    return out.select(bench_id, zero("documents"), zero("near_documents"), F.coalesce("containment", F.lit(0.0)).alias("containment"), F.when(exclude, "exclude").otherwise("keep").alias("verdict"))
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -3,6 +3,7 @@
 import pytest
 from compare import connect, differences
 
+from millrace.operators import quality
 from millrace.plans import retrieval_queries as rq
 from millrace.plans import sql
 from millrace.plans import training_queries as tq
@@ -38,3 +39,11 @@ def test_compiled_rows_have_eight_negatives(spark, sf01, con01):
     want = widened(tq.QUERIES["compile_recipes"][1], (sql.MINED, MINED), ("pick <= 2", "pick <= 8"), ("coalesce(us.usable, 0) < 2", "coalesce(us.usable, 0) < 8"), ("coalesce(ch.picked, 0) < 2", "coalesce(ch.picked, 0) < 8"))
     assert differences(spark, con01, sf01, tq.compile_recipes, want) is None
     assert {f"negative{i}" for i in range(1, 9)} < set(tq.compile_training_rows(spark, sf01).columns)
+
+
+def test_a_benchmark_item_inside_a_document_is_excluded(spark):
+    long, words = " ".join(f"w{i}" for i in range(20)), " ".join(f"W{i}," for i in range(4, 16))
+    items = spark.createDataFrame([("inside", long), ("short", "One two."), ("other", "three four"), ("gap", " ".join(f"w{i}" for i in range(10)) + " x"), ("equal", "?!"), ("none", None)], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"before {words} after"), (2, "zero one two three"), (3, "?!"), (None, words), (4, None)], "doc_id long, text string")
+    got = {r["item_id"]: (r["documents"], r["near_documents"], r["containment"], r["verdict"]) for r in quality.benchmark_overlap(items, docs).collect()}
+    assert got == {"inside": (0, 1, round(1 / 9, 9), "exclude"), "short": (0, 1, 1.0, "exclude"), "other": (0, 0, 0.0, "keep"), "gap": (0, 0, 0.0, "keep"), "equal": (1, 0, 0.0, "exclude"), "none": (0, 0, 0.0, "keep")}
