@@ -45,6 +45,41 @@ def suspicious(df: DataFrame, query: str, positive: str, negatives: list[str], p
     return df.withColumn("_b", best).select(*df.columns, F.col("_b.score").alias("score"), (-F.col("_b.neg")).alias("worst_negative"), "_b.positive_jaccard", "_b.query_jaccard")
 
 
+def sample_faults(df: DataFrame, positives: str, negatives: str) -> DataFrame:
+    """As :func:`negative_faults` for samples with arrays: rows, rows with a repeated negative, rows with a positive that
+    equals a negative; blank texts and null arrays don't count."""
+    texts = lambda c: F.filter(F.transform(F.coalesce(c, F.array().cast("array<string>")), clean), lambda x: x != "")
+    p, n = texts(F.col(positives)), texts(F.col(negatives))
+    return df.agg(F.count("*").alias("n_rows"), F.count_if(F.size(F.array_distinct(n)) < F.size(n)).alias("duplicate_negatives"), F.count_if(F.arrays_overlap(p, n)).alias("positive_is_negative"))
+
+
+def empty_texts(df: DataFrame, column: str, arrays: list[str]) -> DataFrame:
+    """One row: how often ``column`` is null or blank, and for each of ``arrays`` the samples without a text in it
+    (``without_``) and the null or blank elements of all samples (``empty_``)."""
+    blank = lambda c: F.size(F.filter(F.coalesce(c, F.array().cast("array<string>")), lambda x: clean(x) == ""))
+    size = lambda c: F.size(F.coalesce(c, F.array().cast("array<string>")))
+    each = [x for c in arrays for x in (F.count_if(size(F.col(c)) == blank(F.col(c))).alias(f"without_{c}"), F.sum(blank(F.col(c))).alias(f"empty_{c}"))]
+    return df.agg(F.count_if(clean(column) == "").alias(f"empty_{column}"), *each)
+
+
+def suspicious_samples(df: DataFrame, query: str, positives: str, negatives: str, places: int = 9) -> DataFrame:
+    """As :func:`suspicious` for samples with arrays: a row for each positive (one without, if a sample has none), with the
+    worst of all negatives."""
+    rows = df.withColumn("_p", F.explode_outer(F.array_distinct(positives)))
+    q, p = tokens(query), tokens("_p")
+    rows = rows.withColumn("_q", q).withColumn("_t", p)
+
+    def one(c, i):
+        t = tokens(c)
+        pn, qn = F.round(jaccard(F.col("_t"), t), places), F.round(jaccard(F.col("_q"), t), places)
+        return F.when(clean(c) != "", F.struct(F.greatest(pn, qn).alias("score"), (-i - 1).alias("neg"), pn.alias("positive_jaccard"), qn.alias("query_jaccard")))
+
+    none = F.struct(F.lit(-1.0).alias("score"), F.lit(0).alias("neg"), F.lit(0.0).alias("positive_jaccard"), F.lit(0.0).alias("query_jaccard"))
+    all_of = F.transform(F.coalesce(negatives, F.array().cast("array<string>")), one)
+    best = F.array_max(F.array_compact(F.concat(all_of, F.array(none))))
+    return rows.withColumn("_b", best).select(*df.columns, F.col("_p").alias("one_positive"), F.col("_b.score").alias("score"), (-F.col("_b.neg")).alias("worst_negative"), "_b.positive_jaccard", "_b.query_jaccard")
+
+
 def eval_samples(samples: DataFrame, family: str = "dataset", query: str = "query") -> DataFrame:
     """``(family, query, positive, negative, lang)``: samples grouped by family and query text; positives and negatives are the
     distinct non-blank texts of the group (sorted), a negative that is a positive anywhere in the family is dropped, the

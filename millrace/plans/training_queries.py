@@ -160,30 +160,23 @@ def invalid_eval_samples(spark, d):
     return quality.invalid_samples(_t(spark, d, "reranking_samples"))
 
 
-def _flat(spark, d):
-    """Samples as fixed-width rows: the first positive and the first three negatives."""
-    s = _t(spark, d, "reranking_samples")
-    at = lambda c, i: F.try_element_at(c, F.lit(i))
-    return s.select("sample_id", "dataset", "query", at("positive", 1).alias("positive"), *(at("negative", i).alias(f"negative{i}") for i in (1, 2, 3)))
-
-
 _FLAT = "fl as (select sample_id, dataset, query, positive[1] as positive, negative[1] as negative1, negative[2] as negative2, negative[3] as negative3 from reranking_samples)"
 
 
 def analyze_quality(spark, d):
-    return quality.negative_faults(_flat(spark, d), "positive", ["negative1", "negative2", "negative3"])
+    return quality.sample_faults(_t(spark, d, "reranking_samples"), "positive", "negative")
 
 
 def analyze_empty(spark, d):
-    return quality.empty_counts(_flat(spark, d), ["query", "positive", "negative1", "negative2", "negative3"])
+    return quality.empty_texts(_t(spark, d, "reranking_samples"), "query", ["positive", "negative"])
 
 
 def analyze_datasets(spark, d):
-    return quality.dataset_counts(_flat(spark, d))
+    return quality.dataset_counts(_t(spark, d, "reranking_samples"))
 
 
 def jaccard_suspicious(spark, d):
-    s = quality.suspicious(_flat(spark, d).distinct(), "query", "positive", ["negative1", "negative2", "negative3"])
+    s = quality.suspicious_samples(_t(spark, d, "reranking_samples").select("sample_id", "query", "positive", "negative").distinct(), "query", "positive", "negative")
     return s.select("sample_id", "score", "worst_negative", "positive_jaccard", "query_jaccard").distinct().orderBy(F.desc("score"), "worst_negative", F.desc("positive_jaccard"), F.desc("query_jaccard"), "sample_id").limit(20)
 
 

@@ -47,3 +47,12 @@ def test_a_benchmark_item_inside_a_document_is_excluded(spark):
     docs = spark.createDataFrame([(1, f"before {words} after"), (2, "zero one two three"), (3, "?!"), (None, words), (4, None)], "doc_id long, text string")
     got = {r["item_id"]: (r["documents"], r["near_documents"], r["containment"], r["verdict"]) for r in quality.benchmark_overlap(items, docs).collect()}
     assert got == {"inside": (0, 1, round(1 / 9, 9), "exclude"), "short": (0, 1, 1.0, "exclude"), "other": (0, 0, 0.0, "keep"), "gap": (0, 0, 0.0, "keep"), "equal": (1, 0, 0.0, "exclude"), "none": (0, 0, 0.0, "keep")}
+
+
+def test_samples_are_analysed_with_all_their_texts(spark):
+    rows = [(1, "q", ["a b", "c d"], ["x", "y", "z", "c d"]), (2, "q", ["a"], ["x", "y", "z", "w", "w"]), (3, " ", None, [" ", None]), (4, "q", ["k"], None)]
+    df = spark.createDataFrame(rows, "sample_id long, query string, positive array<string>, negative array<string>")
+    assert tuple(quality.sample_faults(df, "positive", "negative").first()) == (4, 1, 1)
+    assert quality.empty_texts(df, "query", ["positive", "negative"]).first().asDict() == {"empty_query": 1, "without_positive": 1, "empty_positive": 0, "without_negative": 2, "empty_negative": 2}
+    got = {(r["sample_id"], r["one_positive"]): (r["score"], r["worst_negative"]) for r in quality.suspicious_samples(df, "query", "positive", "negative").collect()}
+    assert got == {(1, "a b"): (0.0, 1), (1, "c d"): (1.0, 4), (2, "a"): (0.0, 1), (3, None): (-1.0, 0), (4, "k"): (-1.0, 0)}
