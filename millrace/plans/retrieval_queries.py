@@ -131,29 +131,29 @@ def macro_metrics(spark, d):
     return metrics.macro_metrics(metrics.mean_metrics(_by_label(spark, d), ["dataset"], places=13).withColumn("dataset", F.col("dataset").cast("string")))
 
 
-def _bm25(spark, d, k):
+def _bm25(spark, d, k=100):
     docs = _t(spark, d, "documents").select("doc_id", "text")
     items = _t(spark, d, "heldout_items").select(F.col("item_id").alias("query_id"), "text")
     return bm25.bm25(docs, items, k)
 
 
 def bm25_topk(spark, d):
-    return _bm25(spark, d, 20)
+    return _bm25(spark, d)
 
 
 def run_truncate(spark, d):
-    return metrics.truncate_run(_bm25(spark, d, 20).drop("rk"), 5)
+    return metrics.truncate_run(_bm25(spark, d).drop("rk"), 5)
 
 
 def run_validate(spark, d):
     items = _t(spark, d, "heldout_items").select(F.col("item_id").alias("query_id"))
-    return metrics.validate_run(_bm25(spark, d, 20), items, 10)
+    return metrics.validate_run(_bm25(spark, d), items, 10)
 
 
 def rerank_apply(spark, d):
     """The first stage reranked by word overlap (a model's place), ranked again."""
     tmp = Scratch(spark, "rerank")
-    run = tmp.cut(_bm25(spark, d, 20).select("query_id", "doc_id", "score"))
+    run = tmp.cut(_bm25(spark, d).select("query_id", "doc_id", "score"))
     full = metrics.resolve_run(run, _t(spark, d, "heldout_items").select(F.col("item_id").alias("query_id"), "text"), _t(spark, d, "documents").select("doc_id", "text"))
     again = metrics.rerank(full, overlap_scorer).withColumn("score", F.round("score", 9))
     return metrics.rank_run(again).where("rk <= 5")

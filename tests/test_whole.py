@@ -56,3 +56,9 @@ def test_samples_are_analysed_with_all_their_texts(spark):
     assert quality.empty_texts(df, "query", ["positive", "negative"]).first().asDict() == {"empty_query": 1, "without_positive": 1, "empty_positive": 0, "without_negative": 2, "empty_negative": 2}
     got = {(r["sample_id"], r["one_positive"]): (r["score"], r["worst_negative"]) for r in quality.suspicious_samples(df, "query", "positive", "negative").collect()}
     assert got == {(1, "a b"): (0.0, 1), (1, "c d"): (1.0, 4), (2, "a"): (0.0, 1), (3, None): (-1.0, 0), (4, "k"): (-1.0, 0)}
+
+
+@pytest.mark.parametrize("name", ["bm25_topk", "run_truncate", "run_validate", "rerank_apply"])
+def test_the_first_stage_keeps_a_hundred(spark, sf01, con01, name):
+    query, text = rq.QUERIES[name]
+    assert differences(spark, con01, sf01, query, widened(text, ("rk <= 20)", "rk <= 100)"))) is None
