@@ -15,9 +15,13 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
+def _pairs(spark, d):
+    """The pairs with their language in lower case; null is the empty language."""
+    return _t(spark, d, "pairs").withColumn("lang", F.lower(F.trim(keys.normalize("lang"))))
+
+
 def _pair_keys(spark, d):
-    p = _t(spark, d, "pairs").where("lang is not null").withColumn("lang", F.lower(F.trim("lang")))
-    return p.select("dataset", "query_id", "passage_id", "lang").distinct()
+    return _pairs(spark, d).select("dataset", "query_id", "passage_id", "lang").distinct()
 
 
 _PK = "pk as (select distinct dataset, query_id, passage_id, lower(trim(lang)) as lang from pairs where lang is not null)"
@@ -48,7 +52,7 @@ def compile_recipes(spark, d):
 
 def compile_training_rows(spark, d):
     rows, _ = _compiled(spark, d)
-    p = _t(spark, d, "pairs").where("lang is not null").withColumn("lang", F.lower(F.trim("lang")))
+    p = _pairs(spark, d)
     qt = coverage.last_row(p, ["dataset", "query_id", "lang"], "query", F.col("loaded_at")).withColumnRenamed("query", "text")
     pt = coverage.last_row(p, ["dataset", "passage_id", "lang"], "passage", F.col("loaded_at")).withColumnRenamed("passage", "text")
     return training_rows.with_texts(rows, qt, pt, NEGATIVES)

@@ -20,6 +20,10 @@ def widened(text, *changes):
 MINED = widened(sql.MINED, ("cast(8 * power", "cast(50 * power"), ("least(count(*), 64) / 8.0", "least(count(*), 1000) / 50.0"), ("where n <= 3)", "where n <= 8)"))
 
 
+#: A null language is the empty one.
+LANG = ("lower(trim(lang)) as lang from pairs where lang is not null", "lower(trim(coalesce(lang, ''))) as lang from pairs")
+
+
 @pytest.fixture(scope="module")
 def con01(sf01):
     return connect(sf01)
@@ -36,7 +40,7 @@ def test_merged_negatives_take_both_lists_at_full_depth(spark, sf01, con01):
 
 
 def test_compiled_rows_have_eight_negatives(spark, sf01, con01):
-    want = widened(tq.QUERIES["compile_recipes"][1], (sql.MINED, MINED), ("pick <= 2", "pick <= 8"), ("coalesce(us.usable, 0) < 2", "coalesce(us.usable, 0) < 8"), ("coalesce(ch.picked, 0) < 2", "coalesce(ch.picked, 0) < 8"))
+    want = widened(tq.QUERIES["compile_recipes"][1], (sql.MINED, MINED), LANG, ("pick <= 2", "pick <= 8"), ("coalesce(us.usable, 0) < 2", "coalesce(us.usable, 0) < 8"), ("coalesce(ch.picked, 0) < 2", "coalesce(ch.picked, 0) < 8"))
     assert differences(spark, con01, sf01, tq.compile_recipes, want) is None
     assert {f"negative{i}" for i in range(1, 9)} < set(tq.compile_training_rows(spark, sf01).columns)
 
@@ -62,3 +66,10 @@ def test_samples_are_analysed_with_all_their_texts(spark):
 def test_the_first_stage_keeps_a_hundred(spark, sf01, con01, name):
     query, text = rq.QUERIES[name]
     assert differences(spark, con01, sf01, query, widened(text, ("rk <= 20)", "rk <= 100)"))) is None
+
+
+def test_pairs_without_language_are_compiled(spark, sf01, con01):
+    assert con01.sql("select count(*) from pairs where lang is null").fetchall()[0][0] > 0
+    assert differences(spark, con01, sf01, tq.lang_permutations, widened(tq.QUERIES["lang_permutations"][1], LANG)) is None
+    want = con01.sql("select count(*) from (select distinct dataset, query_id, passage_id, lower(trim(coalesce(lang, ''))) from pairs)").fetchall()[0][0]
+    assert tq._pair_keys(spark, sf01).count() == want
