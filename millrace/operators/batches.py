@@ -100,10 +100,15 @@ def schedule(counts: DataFrame, seed: int = 42, epoch: int = 0) -> DataFrame:
 
 def in_batch_negatives(batched: DataFrame, k: int, seed: int = 42) -> DataFrame:
     """``(dataset, batch, row, negative_row)``: for each row the positives of ``k`` other rows of its batch, by a seeded hash.
-    Batches are of bounded size, which bounds the self-join."""
-    b = batched.select("dataset", "batch", "row")
-    other = b.select("dataset", "batch", F.col("row").alias("negative_row"))
+    Rows of the same anchor or positive, where ``batched`` has these columns, are no negatives. Batches are of bounded size,
+    which bounds the self-join."""
+    same = [c for c in ("anchor", "positive") if c in batched.columns]
+    b = batched.select("dataset", "batch", "row", *same)
+    other = b.select("dataset", "batch", F.col("row").alias("negative_row"), *(F.col(c).alias(f"_{c}") for c in same))
     pairs = b.join(other, ["dataset", "batch"]).where("row <> negative_row")
+    for c in same:
+        pairs = pairs.where(F.col(c).isNull() | F.col(f"_{c}").isNull() | (F.col(c) != F.col(f"_{c}")))
+    pairs = pairs.select("dataset", "batch", "row", "negative_row")
     h = hash60(F.lit(f"{seed}|"), "row", F.lit("|"), "negative_row")
     w = W.partitionBy("dataset", "batch", "row").orderBy(h, "negative_row")
     return pairs.withColumn("n", F.row_number().over(w)).where(F.col("n") <= k)

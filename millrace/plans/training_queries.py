@@ -118,9 +118,13 @@ def rank_greedy_lpt(spark, d):
 
 
 def _rows(spark, d):
-    """Distinct rows to batch: the sample's id, its query as the anchor and its first positive."""
-    r = _t(spark, d, "reranking_samples").where("query is not null").select("dataset", F.col("sample_id").alias("row"), "query", "positive")
-    return r.groupBy("dataset", "row").agg(F.min("query").alias("anchor"), F.min(keys.first_non_empty("positive")).alias("positive"))
+    """Rows to batch: one for each distinct non-blank positive of a sample, with its query as the anchor; the id is of sample
+    and positive. A sample without a positive is one row with the empty one."""
+    r = _t(spark, d, "reranking_samples").where("query is not null").select("dataset", "sample_id", "query", F.explode_outer("positive").alias("x"))
+    r = r.withColumn("positive", keys.strip(keys.normalize("x")))
+    g = r.groupBy("dataset", "sample_id").agg(F.min("query").alias("anchor"), F.collect_set(F.when(F.col("positive") != "", F.col("positive"))).alias("ps"))
+    g = g.select("dataset", "sample_id", "anchor", F.explode_outer("ps").alias("p")).withColumn("positive", F.coalesce("p", F.lit("")))
+    return g.select("dataset", F.concat(F.col("sample_id").cast("string"), F.lit("|"), F.md5("positive")).alias("row"), "anchor", "positive")
 
 
 _RS = f"rs as (select dataset, sample_id as row, min(query) as anchor from reranking_samples where query is not null group by 1, 2)"

@@ -3,7 +3,7 @@
 import pytest
 from compare import connect, differences
 
-from millrace.operators import quality
+from millrace.operators import batches, quality
 from millrace.plans import retrieval_queries as rq
 from millrace.plans import sql
 from millrace.plans import training_queries as tq
@@ -73,3 +73,14 @@ def test_pairs_without_language_are_compiled(spark, sf01, con01):
     assert differences(spark, con01, sf01, tq.lang_permutations, widened(tq.QUERIES["lang_permutations"][1], LANG)) is None
     want = con01.sql("select count(*) from (select distinct dataset, query_id, passage_id, lower(trim(coalesce(lang, ''))) from pairs)").fetchall()[0][0]
     assert tq._pair_keys(spark, sf01).count() == want
+
+
+def test_every_positive_of_a_sample_is_batched(spark, tmp_path):
+    rows = [("d", 1, "q", [" a", "b", "a", " ", None]), ("d", 2, "r", ["c"]), ("d", 3, "s", None), ("d", 4, None, ["e"])]
+    spark.createDataFrame(rows, "dataset string, sample_id long, query string, positive array<string>").write.parquet(f"{tmp_path}/reranking_samples.parquet")
+    d = str(tmp_path)
+    assert sorted((r["anchor"], r["positive"]) for r in tq._rows(spark, d).collect()) == [("q", "a"), ("q", "b"), ("r", "c"), ("s", "")]
+    assert tq.batch_plain(spark, d).count() == 4
+    got = tq.batch_no_dup(spark, d).collect()
+    assert len({(r["chunk"], r["batch"]) for r in got if r["row"].startswith("1|")}) == 2
+    assert all(r["row"].split("|")[0] != r["negative_row"].split("|")[0] for r in tq.in_batch_negatives(spark, d).collect())
