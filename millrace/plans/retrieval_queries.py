@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import keys, vector
@@ -106,7 +107,9 @@ def _sides(spark, d):
 def _run(spark, d, k=100):
     """A run of the stated query set with judgements: vectors of one label are relevant, those of the next label slightly."""
     e = _t(spark, d, "embeddings")
-    run = _knn(spark, d, "ip", k).where("query <> passage").select(F.col("query").alias("query_id"), F.col("passage").alias("doc_id"), "score")
+    found = _knn(spark, d, "ip", k + 1).where("query <> passage")  # one more: the query itself is mostly among them
+    found = found.withColumn("n", F.row_number().over(W.partitionBy("query").orderBy("rank"))).where(F.col("n") <= k)
+    run = found.select(F.col("query").alias("query_id"), F.col("passage").alias("doc_id"), "score")
     q = e.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query_id"), "label")
     docs = e.select(F.col("vec_id").alias("doc_id"), F.explode(F.array(F.struct(F.col("label").alias("l"), F.lit(2).alias("r")), F.struct(((F.col("label") + 9) % 10).alias("l"), F.lit(1).alias("r")))).alias("x"))
     qrels = q.join(docs, q["label"] == F.col("x.l")).where("query_id <> doc_id").select("query_id", "doc_id", F.col("x.r").alias("relevance"))

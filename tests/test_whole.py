@@ -84,3 +84,10 @@ def test_every_positive_of_a_sample_is_batched(spark, tmp_path):
     got = tq.batch_no_dup(spark, d).collect()
     assert len({(r["chunk"], r["batch"]) for r in got if r["row"].startswith("1|")}) == 2
     assert all(r["row"].split("|")[0] != r["negative_row"].split("|")[0] for r in tq.in_batch_negatives(spark, d).collect())
+
+
+@pytest.mark.parametrize("name", ["rank_metrics", "rank_metrics_by_group", "macro_metrics"])
+def test_runs_have_a_hundred_documents_without_the_query(spark, sf, name):
+    query, text = rq.QUERIES[name]
+    want = widened(text, ("from r where rank <= 100 and query <> passage)", "from r where query <> passage qualify rk <= 100)"))
+    assert differences(spark, connect(sf), sf, query, want) is None
