@@ -179,7 +179,7 @@ _AT = ", ".join(
 _EVAL = f"""{_KNN_IP}, qr as (select q.vec_id as query_id, p.vec_id as doc_id, case when p.label = q.label then 2 else 1 end as rel from embeddings q join embeddings p on (p.label = q.label or (p.label + 9) % 10 = q.label) and q.vec_id <> p.vec_id where q.vec_id % 100 = 0),
   ir as (select *, row_number() over (partition by query_id order by rel desc, doc_id) as i from qr),
   ideal as (select query_id, count(*) as n_rel, {', '.join(f'sum(case when i <= {k} then rel / log2(i + 1) end) as idcg{k}' for k in (1, 3, 10, 100))} from ir group by 1),
-  run as (select query as query_id, passage as doc_id, s as score, row_number() over (partition by query order by s desc, passage) as rk from r where rank <= 100 and query <> passage),
+  run as (select query as query_id, passage as doc_id, s as score, row_number() over (partition by query order by s desc, passage) as rk from r where query <> passage qualify rk <= 100),
   j as (select run.*, coalesce(qr.rel, 0) as rel, sum(case when qr.rel > 0 then 1 else 0 end) over (partition by run.query_id order by rk rows unbounded preceding) as hits,
     sum(case when qr.rel > 0 then 1 else 0 end) over (partition by run.query_id order by score desc range unbounded preceding) as th, count(*) over (partition by run.query_id order by score desc range unbounded preceding) as tn
     from run left join qr on qr.query_id = run.query_id and qr.doc_id = run.doc_id),
@@ -195,7 +195,7 @@ _BM25 = f"""dt as (select doc_id, {_WORDS} as w from documents), st as (select c
   dfs as (select term, count(*) as df from po group by 1),
   sc as (select q.query_id, po.doc_id, round(sum(ln(1 + (st.n_docs - dfs.df + 0.5) / (dfs.df + 0.5)) * po.tf / (po.tf + 1.2 * (1 - 0.75 + 0.75 * po.len / st.avg_len)) * q.qtf), 6) as score
     from q join po on po.term = q.term join dfs on dfs.term = q.term cross join st group by 1, 2),
-  bm as (select * from (select *, row_number() over (partition by query_id order by score desc, doc_id) as rk from sc) where rk <= 20)"""
+  bm as (select * from (select *, row_number() over (partition by query_id order by score desc, doc_id) as rk from sc) where rk <= 100)"""
 _A = "list_distinct(regexp_extract_all(lower(coalesce({}.text, '')), '[\\p{{L}}\\p{{N}}]+'))"
 
 QUERIES = {
@@ -209,7 +209,7 @@ QUERIES = {
     "positive_reference_score": (positive_reference_score, f"with {sql.MINED} select query, round(avg_pos_score, 6) as avg_pos_score from ref"),
     "hard_negative_mine": (hard_negative_mine, f"with {sql.MINED} select dataset, query, passage, round(score, 6) as score, round(avg_pos_score, 6) as avg_pos_score, rank, n from mined"),
     "hard_negative_nested": (hard_negative_nested, f"with {sql.MINED}, p as (select query, string_agg(passage, ',' order by passage) as positive_ids from (select distinct query, passage from pos) group by 1) select m.query, any_value(p.positive_ids) as positive_ids, string_agg(m.passage, ',' order by m.n) as negative_ids, cast(count(*) as int) as n from mined m join p on p.query = m.query group by 1"),
-    "merged_negatives": (merged_negatives, f"""with {sql.MINED}, pl as (select * from (select n.query, n.passage, n.score, cast(n.rk - 1 as int) as rank, row_number() over (partition by n.query order by n.score desc, n.passage desc) as k from near n where n.rk <= 8 and not exists (select 1 from pos p where p.query = n.query and p.passage = n.passage)) where k <= 3),
+    "merged_negatives": (merged_negatives, f"""with {sql.MINED}, pl as (select * from (select n.query, n.passage, n.score, cast(n.rk - 1 as int) as rank, row_number() over (partition by n.query order by n.score desc, n.passage desc) as k from near n where n.rk <= (select s.depth from size s where s.dataset = n.dataset) and not exists (select 1 from pos p where p.query = n.query and p.passage = n.passage)) where k <= 8),
       u as (select query, passage, max(score) as score, max(rank) as rank from (select query, passage, score, rank from mined union all select query, passage, score, rank from pl) group by 1, 2)
       select query, passage, round(score, 6) as score, rank, cast(row_number() over (partition by query order by u.score desc, passage desc) as int) as n from u"""),
     "rank_metrics": (rank_metrics, f"with {_EVAL} select * from per"),

@@ -49,21 +49,21 @@ BY_R = "(retrieval_rank <> -1 and retrieval_rank < 30)"
 BY_V = "(virtual_rank <> -1 and virtual_rank < 30)"
 
 IP = "round(list_dot_product(q.v, p.v), 9)"
-#: Mining over the store: k0 = 8, k_max = 64, three negatives, delta 0.05, by dataset.
+#: Mining over the store: k0 = 50, k_max = 1000, eight negatives, delta 0.05, by dataset.
 MINED = f"""{STORE},
 pos as (select distinct q.id as query, p.id as passage, q.lang = p.lang as same_lang, q.dataset as dataset, q.v as qv, p.v as pv
   from st q join pairs x on q.kind = 'query' and x.query_id = q.item and x.dataset = q.dataset
   join st p on p.kind = 'passage' and p.item = x.passage_id and p.dataset = q.dataset),
 ref as (select query, round(coalesce(avg(case when same_lang then s end), avg(s)), 9) as avg_pos_score
   from (select query, same_lang, round(list_dot_product(qv, pv), 9) as s from pos) group by query),
-size as (select dataset, count(*) as n, cast(8 * power(2, greatest(0, floor(log2(least(count(*), 64) / 8.0) + 1e-12))) as bigint) as depth from st where kind = 'passage' group by dataset),
+size as (select dataset, count(*) as n, cast(50 * power(2, greatest(0, floor(log2(least(count(*), 1000) / 50.0) + 1e-12))) as bigint) as depth from st where kind = 'passage' group by dataset),
 near as (select q.dataset, q.id as query, p.id as passage, {IP} as score, row_number() over (partition by q.id order by {IP} desc, p.id) as rk
   from st q join st p on q.kind = 'query' and p.kind = 'passage' and q.dataset = p.dataset where q.id in (select query from ref)),
 cand as (select n.dataset, n.query, n.passage, n.score, r.avg_pos_score, cast(n.rk - 1 as int) as rank
   from near n join size s on s.dataset = n.dataset join ref r on r.query = n.query
   where n.rk <= s.depth and n.score <= r.avg_pos_score - abs(r.avg_pos_score) * 0.05
     and not exists (select 1 from pos p where p.query = n.query and p.passage = n.passage)),
-mined as (select * from (select *, cast(row_number() over (partition by dataset, query order by score desc, passage desc) as int) as n from cand) where n <= 3)"""
+mined as (select * from (select *, cast(row_number() over (partition by dataset, query order by score desc, passage desc) as int) as n from cand) where n <= 8)"""
 
 #: Components of the query-passage graph: the smallest node that each node reaches.
 COMPONENTS = """edges as (select distinct 'q:' || coalesce(query_id, '') as a, 'p:' || coalesce(passage_id, '') as b from pairs),

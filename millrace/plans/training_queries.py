@@ -24,7 +24,7 @@ def _pair_keys(spark, d):
     return _pairs(spark, d).select("dataset", "query_id", "passage_id", "lang").distinct()
 
 
-_PK = "pk as (select distinct dataset, query_id, passage_id, lower(trim(lang)) as lang from pairs where lang is not null)"
+_PK = "pk as (select distinct dataset, query_id, passage_id, lower(trim(coalesce(lang, ''))) as lang from pairs)"
 
 
 def lang_permutations(spark, d):
@@ -62,21 +62,23 @@ def compile_drop_stats(spark, d):
     return training_rows.drop_stats(_compiled(spark, d)[1])
 
 
-_LISTS = """ml as (select dataset, regexp_extract(query, '^(.*)_([^_]*)$', 1) as query_id, regexp_extract(query, '^(.*)_([^_]*)$', 2) as query_lang, regexp_extract(passage, '^(.*)_([^_]*)$', 1) as passage_id, regexp_extract(passage, '^(.*)_([^_]*)$', 2) as lang, n as place from mined),
+_LISTS = f"""ml as (select dataset, regexp_extract(query, '^(.*)_([^_]*)$', 1) as query_id, regexp_extract(query, '^(.*)_([^_]*)$', 2) as query_lang, regexp_extract(passage, '^(.*)_([^_]*)$', 1) as passage_id, regexp_extract(passage, '^(.*)_([^_]*)$', 2) as lang, n as place from mined),
   li as (select m.* from ml m where not exists (select 1 from pk where pk.dataset = m.dataset and pk.query_id = m.query_id and pk.passage_id = m.passage_id)),
   kn as (select distinct dataset, passage_id, lang from pk),
   us as (select l.dataset, l.query_id, l.query_lang, count(distinct (l.passage_id, l.lang)) as usable from li l join kn on kn.dataset = l.dataset and kn.passage_id = l.passage_id and kn.lang = l.lang group by all),
   fi as (select dataset, query_id, query_lang, passage_id, min(place) filter (lang = query_lang) as own, arg_min(lang, place) as fl, min(place) as fp from li group by all),
-  pi as (select * from (select dataset, query_id, query_lang, passage_id, case when own is not null then query_lang else fl end as lang, row_number() over (partition by dataset, query_id, query_lang order by own is null, coalesce(own, fp), passage_id) as pick from fi) where pick <= 2),
-  ch as (select p.dataset, p.query_id, p.query_lang, count(*) as picked, string_agg(p.passage_id || '_' || p.lang, ',' order by pick) as negatives, arg_min(p.passage_id, pick) as n1, arg_min(p.lang, pick) as l1, arg_max(p.passage_id, pick) as n2, arg_max(p.lang, pick) as l2
+  pi as (select * from (select dataset, query_id, query_lang, passage_id, case when own is not null then query_lang else fl end as lang, row_number() over (partition by dataset, query_id, query_lang order by own is null, coalesce(own, fp), passage_id) as pick from fi) where pick <= {NEGATIVES}),
+  ch as (select p.dataset, p.query_id, p.query_lang, count(*) as picked, string_agg(p.passage_id || '_' || p.lang, ',' order by pick) as negatives, list(p.passage_id order by pick) as ns, list(p.lang order by pick) as ls
     from pi p join kn on kn.dataset = p.dataset and kn.passage_id = p.passage_id and kn.lang = p.lang group by all),
   qs as (select distinct dataset, query_id, lang as query_lang from pk),
-  fate as (select q.dataset, q.query_id, q.query_lang, case when coalesce(us.usable, 0) < 2 then 'insufficient' when coalesce(ch.picked, 0) < 2 then 'incomplete' else 'written' end as outcome
+  fate as (select q.dataset, q.query_id, q.query_lang, case when coalesce(us.usable, 0) < {NEGATIVES} then 'insufficient' when coalesce(ch.picked, 0) < {NEGATIVES} then 'incomplete' else 'written' end as outcome
     from qs q left join us on us.dataset = q.dataset and us.query_id = q.query_id and us.query_lang = q.query_lang left join ch on ch.dataset = q.dataset and ch.query_id = q.query_id and ch.query_lang = q.query_lang),
   rc as (select f.dataset, f.query_id, f.query_lang, pk.lang as passage_lang, pk.passage_id as positive_id, ch.* exclude (dataset, query_id, query_lang)
     from fate f join pk on pk.dataset = f.dataset and pk.query_id = f.query_id join ch on ch.dataset = f.dataset and ch.query_id = f.query_id and ch.query_lang = f.query_lang where f.outcome = 'written')"""
 _COMPILED = f"{sql.MINED}, {_PK}, {_LISTS}"
-_LAST = """lt_{0} as (select dataset, id, lang, text from (select coalesce(dataset, '') as dataset, coalesce({0}_id, '') as id, lower(trim(lang)) as lang, coalesce({0}, '') as text, row_number() over (partition by dataset, {0}_id, lower(trim(lang)) order by loaded_at desc nulls last, coalesce({0}, '') desc) as rn from pairs where lang is not null) where rn = 1)"""
+_LAST = """lt_{0} as (select dataset, id, lang, text from (select coalesce(dataset, '') as dataset, coalesce({0}_id, '') as id, lower(trim(coalesce(lang, ''))) as lang, coalesce({0}, '') as text, row_number() over (partition by coalesce(dataset, ''), coalesce({0}_id, ''), lower(trim(coalesce(lang, ''))) order by loaded_at desc nulls last, coalesce({0}, '') desc) as rn from pairs) where rn = 1)"""
+_NEGATIVE_COLUMNS = ", ".join(f"t{i}.text as negative{i}" for i in range(1, NEGATIVES + 1))
+_NEGATIVE_TEXTS = " ".join(f"join lt_passage t{i} on t{i}.dataset = rc.dataset and t{i}.id = rc.ns[{i}] and t{i}.lang = rc.ls[{i}]" for i in range(1, NEGATIVES + 1))
 
 
 def _bucketed(spark, d, algorithm="md5"):
@@ -127,7 +129,9 @@ def _rows(spark, d):
     return g.select("dataset", F.concat(F.col("sample_id").cast("string"), F.lit("|"), F.md5("positive")).alias("row"), "anchor", "positive")
 
 
-_RS = f"rs as (select dataset, sample_id as row, min(query) as anchor from reranking_samples where query is not null group by 1, 2)"
+_RS = f"""an as (select dataset, sample_id, min(query) as anchor from reranking_samples where query is not null group by 1, 2),
+  ps as (select distinct dataset, sample_id, {sql.strip('x')} as t from (select dataset, sample_id, unnest(positive) as x from reranking_samples where query is not null) where {sql.strip("coalesce(x, '')")} <> ''),
+  rs as (select an.dataset, cast(an.sample_id as varchar) || '|' || md5(coalesce(ps.t, '')) as row, an.anchor, coalesce(ps.t, '') as positive from an left join ps on ps.dataset is not distinct from an.dataset and ps.sample_id is not distinct from an.sample_id)"""
 
 
 def batch_plain(spark, d):
@@ -155,7 +159,7 @@ def in_batch_negatives(spark, d):
     return batches.in_batch_negatives(batches.plain_batches(_rows(spark, d), "row", 16), 2)
 
 
-_BATCHED = f"{_RS}, pb as (select dataset, row, anchor, cast(floor((row_number() over (partition by dataset order by {sql.hash60(chr(39) + '42|' + chr(39) + ' || row')}) - 1) / 16) as bigint) as batch from rs)"
+_BATCHED = f"{_RS}, pb as (select dataset, row, anchor, positive, cast(floor((row_number() over (partition by dataset order by {sql.hash60(chr(39) + '42|' + chr(39) + ' || row')}) - 1) / 16) as bigint) as batch from rs)"
 
 
 def eval_samples(spark, d):
@@ -168,9 +172,6 @@ def invalid_eval_samples(spark, d):
     return quality.invalid_samples(_t(spark, d, "reranking_samples"))
 
 
-_FLAT = "fl as (select sample_id, dataset, query, positive[1] as positive, negative[1] as negative1, negative[2] as negative2, negative[3] as negative3 from reranking_samples)"
-
-
 def analyze_quality(spark, d):
     return quality.sample_faults(_t(spark, d, "reranking_samples"), "positive", "negative")
 
@@ -206,10 +207,16 @@ def stream_filter_bucket(spark, d):
 
 _B = f"select query_id, dataset, passage, {sql.hash60('query_id')} as query_key64, cast({sql.hash60('query_id')} % 64 as int) as bucket_id, case when {sql.strip('passage')} is null or {sql.strip('passage')} = '' then {sql.hash60(chr(39) + '__empty_positive__' + chr(39))} else {sql.hash60(sql.strip('passage'))} end as positive_key64 from pairs"
 _MAN = "select dataset, bucket_id, count(*) as n_rows, count(distinct query_id) as unique_query_ids from b group by 1, 2"
-_BEST = ", ".join(
-    f"case when {sql.clean(f'negative{i}')} <> '' then {{'score': greatest(round({sql.jaccard('tp', f't{i}')}, 9), round({sql.jaccard('tq', f't{i}')}, 9)), 'neg': -{i}, 'p': round({sql.jaccard('tp', f't{i}')}, 9), 'q': round({sql.jaccard('tq', f't{i}')}, 9)}} end"
-    for i in (1, 2, 3)
-)
+def _texts(column: str) -> str:
+    return f"list_filter(list_transform(coalesce({column}, []), lambda x: {sql.clean('x')}), lambda x: x <> '')"
+
+
+def _empty(column: str) -> str:
+    blank = f"len(list_filter(coalesce({column}, []), lambda x: {sql.clean('x')} = ''))"
+    return f"count(*) filter (len(coalesce({column}, [])) = {blank}) as without_{column}, cast(sum({blank}) as bigint) as empty_{column}"
+
+
+_GRAM = "list_transform(range(1, len(w) - {0} + 2), lambda i: array_to_string(w[i:i + {0} - 1], ' '))"
 _E_TEXT = "(select distinct coalesce(dataset, '') as dataset, {q} as query, {t} as t from (select dataset, query, unnest({c}) as x from reranking_samples) where {q} <> '' and {t} <> '')"
 _Q, _X = sql.strip("coalesce(query, '')"), sql.strip("coalesce(x, '')")
 
@@ -217,9 +224,9 @@ QUERIES = {
     "lang_permutations": (lang_permutations, f"with {_PK}, l as (select distinct dataset, lang from pk) select a.dataset, a.lang as query_lang, b.lang as passage_lang from l a join l b on a.dataset = b.dataset"),
     "compile_recipes": (compile_recipes, f"with {_COMPILED} select dataset, query_id, query_lang, passage_lang, positive_id, negatives from rc"),
     "compile_training_rows": (compile_training_rows, f"""with {_COMPILED}, {_LAST.format('query')}, {_LAST.format('passage')}
-      select rc.query_id, rc.dataset, rc.query_lang, rc.passage_lang, q.text as query, p.text as positive, a.text as negative1, b.text as negative2 from rc
+      select rc.query_id, rc.dataset, rc.query_lang, rc.passage_lang, q.text as query, p.text as positive, {_NEGATIVE_COLUMNS} from rc
       join lt_query q on q.dataset = rc.dataset and q.id = rc.query_id and q.lang = rc.query_lang join lt_passage p on p.dataset = rc.dataset and p.id = rc.positive_id and p.lang = rc.passage_lang
-      join lt_passage a on a.dataset = rc.dataset and a.id = rc.n1 and a.lang = rc.l1 join lt_passage b on b.dataset = rc.dataset and b.id = rc.n2 and b.lang = rc.l2"""),
+      {_NEGATIVE_TEXTS}"""),
     "compile_drop_stats": (compile_drop_stats, f"with {_COMPILED} select dataset, count(*) as queries, count(*) filter (outcome = 'written') as written, count(*) filter (outcome = 'insufficient') as insufficient, count(*) filter (outcome = 'incomplete') as incomplete from fate group by 1"),
     "hash_buckets": (hash_buckets, f"with b as ({_B}) select query_id, query_key64, bucket_id, count(*) as n, count(distinct positive_key64) as positives, max(positive_key64) as last_positive from b group by 1, 2, 3"),
     "hash_buckets_blake2b": (hash_buckets_blake2b, None),
@@ -236,20 +243,31 @@ QUERIES = {
     "batch_no_dup": (batch_no_dup, None),
     "batch_count_sync": (batch_count_sync, f"with {_RS}, c as (select dataset, {sql.hash60('anchor')} % 4 as rank, cast(ceil(count(*) / 16) as bigint) as batches from rs group by 1, 2), g as (select dataset, min(batches) as batches, round(avg(batches), 9) as mean from c group by 1) select *, case when batches = 0 then 'empty' when batches < mean / 2 then 'unbalanced' else 'ok' end as outcome from g"),
     "batch_schedule": (batch_schedule, f"with {_RS}, c as (select dataset, cast(ceil(count(*) / 16) as bigint) as batches from rs group by 1), s as (select dataset, unnest(range(batches)) as i from c), o as (select dataset, row_number() over (order by {sql.hash60(chr(39) + '42|' + chr(39) + ' || dataset || ' + chr(39) + '|' + chr(39) + ' || i')}) - 1 as step from s) select step, dataset, row_number() over (partition by dataset order by step) - 1 as batch from o"),
-    "in_batch_negatives": (in_batch_negatives, f"with {_BATCHED} select * from (select a.dataset, a.batch, a.row, b.row as negative_row, cast(row_number() over (partition by a.dataset, a.batch, a.row order by {sql.hash60(chr(39) + '42|' + chr(39) + ' || a.row || ' + chr(39) + '|' + chr(39) + ' || b.row')}, b.row) as int) as n from pb a join pb b on a.dataset = b.dataset and a.batch = b.batch and a.row <> b.row) where n <= 2"),
+    "in_batch_negatives": (in_batch_negatives, f"with {_BATCHED} select * from (select a.dataset, a.batch, a.row, b.row as negative_row, cast(row_number() over (partition by a.dataset, a.batch, a.row order by {sql.hash60(chr(39) + '42|' + chr(39) + ' || a.row || ' + chr(39) + '|' + chr(39) + ' || b.row')}, b.row) as int) as n from pb a join pb b on a.dataset = b.dataset and a.batch = b.batch and a.row <> b.row and a.anchor <> b.anchor and a.positive <> b.positive) where n <= 2"),
     "eval_samples": (eval_samples, f"""with po as {_E_TEXT.format(q=_Q, t=_X, c='positive')}, ne as {_E_TEXT.format(q=_Q, t=_X, c='negative')},
       nn as (select * from ne where not exists (select 1 from po where po.dataset = ne.dataset and po.t = ne.t)),
       la as (select coalesce(dataset, '') as dataset, {_Q} as query, min(nullif({sql.strip("coalesce(lang, '')")}, '')) as lang from reranking_samples group by 1, 2),
       p as (select dataset, query, cast(count(*) as int) as n, md5(string_agg(t, chr(31) order by t)) as h from po group by 1, 2), n as (select dataset, query, cast(count(*) as int) as n, md5(string_agg(t, chr(31) order by t)) as h from nn group by 1, 2)
       select p.dataset, p.query, la.lang, p.n as n_positive, p.h as positives, coalesce(n.n, 0) as n_negative, coalesce(n.h, md5('')) as negatives from p left join n on n.dataset = p.dataset and n.query = p.query join la on la.dataset = p.dataset and la.query = p.query"""),
     "invalid_eval_samples": (invalid_eval_samples, f"with s as (select {_Q} = '' as q, coalesce(len(list_filter(positive, lambda x: {_X} <> '')), 0) = 0 as p from reranking_samples) select count(*) as samples, count(*) filter (q) as without_query, count(*) filter (not q and p) as without_positive from s"),
-    "analyze_quality": (analyze_quality, f"with {_FLAT}, n as (select {sql.clean('positive')} as p, list_filter([{', '.join(sql.clean(f'negative{i}') for i in (1, 2, 3))}], lambda x: x <> '') as ns from fl) select count(*) as n_rows, count(*) filter (len(list_distinct(ns)) < len(ns)) as duplicate_negatives, count(*) filter (p <> '' and list_contains(ns, p)) as positive_is_negative from n"),
-    "analyze_empty": (analyze_empty, f"with {_FLAT} select {', '.join(f'count(*) filter ({sql.clean(c)} = {chr(39) * 2}) as empty_{c}' for c in ('query', 'positive', 'negative1', 'negative2', 'negative3'))} from fl"),
+    "analyze_quality": (analyze_quality, f"with n as (select {_texts('positive')} as p, {_texts('negative')} as ns from reranking_samples) select count(*) as n_rows, count(*) filter (len(list_distinct(ns)) < len(ns)) as duplicate_negatives, count(*) filter (len(list_intersect(p, ns)) > 0) as positive_is_negative from n"),
+    "analyze_empty": (analyze_empty, f"select count(*) filter ({sql.clean('query')} = '') as empty_query, {_empty('positive')}, {_empty('negative')} from reranking_samples"),
     "analyze_datasets": (analyze_datasets, f"select {sql.clean('dataset')} as dataset, count(*) as n from reranking_samples group by 1 order by n desc, 1 limit 20"),
-    "jaccard_suspicious": (jaccard_suspicious, f"""with {_FLAT}, k as (select distinct * from fl), tk as (select *, {sql.tokens('query')} as tq, {sql.tokens('positive')} as tp, {', '.join(f'{sql.tokens(f"negative{i}")} as t{i}' for i in (1, 2, 3))} from k),
-      bb as (select sample_id, list_max(list_filter([{_BEST}, {{'score': -1.0::double, 'neg': 0, 'p': 0.0::double, 'q': 0.0::double}}], lambda x: x is not null)) as b from tk)
-      select distinct sample_id, b.score as score, -b.neg as worst_negative, b.p as positive_jaccard, b.q as query_jaccard from bb order by score desc, worst_negative, positive_jaccard desc, query_jaccard desc, sample_id limit 20"""),
+    "jaccard_suspicious": (jaccard_suspicious, f"""with k as (select distinct sample_id, query, positive, negative from reranking_samples),
+      pp as (select row_number() over () as rid, * from (select sample_id, query, negative, unnest(case when coalesce(len(positive), 0) = 0 or len(list_filter(positive, lambda x: x is null)) > 0 then list_concat(list_distinct(coalesce(positive, [])), [null]) else list_distinct(positive) end) as p from k)),
+      tk as (select rid, {sql.tokens('query')} as tq, {sql.tokens('p')} as tp, unnest(negative) as neg, generate_subscripts(negative, 1) as i from pp where len(negative) > 0),
+      js as (select rid, i, round({sql.jaccard('tp', 'tn')}, 9) as pj, round({sql.jaccard('tq', 'tn')}, 9) as qj from (select *, {sql.tokens('neg')} as tn from tk where {sql.clean('neg')} <> '')),
+      be as (select *, row_number() over (partition by rid order by greatest(pj, qj) desc, i) as rn from js)
+      select distinct pp.sample_id, coalesce(greatest(be.pj, be.qj), -1.0) as score, cast(coalesce(be.i, 0) as int) as worst_negative, coalesce(be.pj, 0.0) as positive_jaccard, coalesce(be.qj, 0.0) as query_jaccard
+      from pp left join be on be.rid = pp.rid and be.rn = 1 order by score desc, worst_negative, positive_jaccard desc, query_jaccard desc, sample_id limit 20"""),
     "benchmark_overlap": (benchmark_overlap, f"""with b as (select item_id, md5(regexp_replace(lower({sql.strip('text')}), '[\\s\\p{{Z}}]+', ' ', 'g')) as h from heldout_items where {sql.strip("coalesce(text, '')")} <> ''), c as (select md5(regexp_replace(lower({sql.strip('text')}), '[\\s\\p{{Z}}]+', ' ', 'g')) as h, count(doc_id) as documents from documents where {sql.strip("coalesce(text, '')")} <> '' group by 1),
-      x as (select b.item_id, cast(sum(c.documents) as bigint) as documents from b join c on c.h = b.h group by 1) select i.item_id, coalesce(x.documents, 0) as documents, case when x.documents > 0 then 'exclude' else 'keep' end as verdict from (select distinct item_id from heldout_items) i left join x on x.item_id = i.item_id"""),
+      x as (select b.item_id, cast(sum(c.documents) as bigint) as documents from b join c on c.h = b.h group by 1),
+      iw as (select distinct item_id, {retrieval_queries._WORDS} as w from heldout_items), ig as (select item_id, md5(array_to_string(w, ' ')) as o, least(len(w), 12) as n, unnest(list_distinct({_GRAM.format('least(len(w), 12)')})) as g from iw where len(w) > 0),
+      al as (select item_id, o, count(*) as k from ig group by 1, 2), sz as (select distinct n from ig), dw as (select doc_id, {retrieval_queries._WORDS} as w from documents),
+      dg as (select distinct doc_id, n, unnest({_GRAM.format('n')}) as g from dw, sz where len(w) >= n),
+      sh as (select ig.item_id, ig.o, dg.doc_id, count(distinct ig.g) as k from ig join dg on dg.n = ig.n and dg.g = ig.g group by 1, 2, 3),
+      ne as (select sh.item_id, count(distinct sh.doc_id) as near_documents, round(max(sh.k / al.k), 9) as containment from sh join al on al.item_id = sh.item_id and al.o = sh.o group by 1)
+      select i.item_id, coalesce(x.documents, 0) as documents, coalesce(ne.near_documents, 0) as near_documents, coalesce(ne.containment, 0.0) as containment, case when x.documents > 0 or ne.containment is not null then 'exclude' else 'keep' end as verdict
+      from (select distinct item_id from heldout_items) i left join x on x.item_id = i.item_id left join ne on ne.item_id = i.item_id"""),
     "stream_filter_bucket": (stream_filter_bucket, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, {sql.hash60('query_id')} as query_key64, cast({sql.hash60('query_id')} % 64 as int) as bucket_id from scored where {sql.BY_R} or (not {sql.BY_R} and {sql.BY_V})"),
 }
