@@ -1,19 +1,27 @@
 """Problem 1: same or near-same records across splits.
 
 Texts are canonicalised (case, punctuation, white space, character form) to sets of words. A hash of the whole set
-finds equal records only, so near ones are found by hashes of small subsets: with the words of a set in one order
-for all sets, the rarest first, two sets that agree to the threshold share at least L of their first
-``|set| - overlap + L`` words. Evaluation hashes are joined with training hashes and the candidates are compared exactly.
+finds equal records only, so near ones are found by hashes of parts of the sets, evaluation hashes are joined with
+training hashes, and the candidates are compared exactly. There are two kinds of hashes:
+
+* Short sets: subsets of words. With the words of a set in one order for all sets, frequent ones last, two sets
+  that agree to the threshold share at least L of their first ``|set| - overlap + L`` words. A hash that many sets
+  share is made longer, word by word.
+* Long sets: parts of the universe of words (Deng, Li, Wen and Feng, "An efficient partition based method for exact set
+  similarity joins", PVLDB 2015). Two sets that agree differ by at most D words; if the parts are given tolerances
+  e with sum(e + 1) > D, in some part they differ by at most e words. Each set chooses its tolerances (none, 0 or 1) so
+  that the hashes it looks up are the ones that fewest others hold.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,12 +32,12 @@ from . import charform
 #: Words that make up at least this part of all words are ordered by frequency (there are at most 1 / FREQUENT of
 #: them); the others come before them, ordered by hash. Any order gives the whole result.
 FREQUENT = 1 / 20_000
-#: (smallest, largest set, words in a hashed subset). A pair of sets is found in the band that holds both: bands overlap so that
-#: each holds 0.7 of the next one's sizes. Small sets agree to 0.7 only if they are equal (up to 2) or share 3 words.
-BANDS = ((3, 24, 3), (17, 80, 2), (56, 1 << 40, 1))
-#: A hash that more sets than this hold on both sides is hot: its sets aren't compared but hashed by one more word, as long as
-#: no set gets more than MOST_HASHES by that. Beyond, the sets share so many words that they are compared.
-HOT, MOST_HASHES = 64, 500
+#: Sets of 3 to SHORT words are hashed by subsets of WORDS words; pairs with a longer set are found by parts.
+SHORT, WORDS = 24, 3
+#: A hash that more sets than this hold on both sides is hot: its sets aren't compared but hashed by one more word.
+HOT = 64
+#: A scope whose pairs are at most this many times its sets is compared as it is.
+FEW = 16
 
 
 def _hash(parts: bytes) -> int:
@@ -61,25 +69,201 @@ def with_word_sets(df: DataFrame, text_col: str) -> DataFrame:
     return df.select(*others, text_col).mapInArrow(word_sets, schema).where("set_id is not null")
 
 
-def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, bands=BANDS, tmp: Scratch | None = None) -> DataFrame:
-    """``(scope, a, b)``: pairs of sets of ``sets(scope, set_id, words, left, right)`` in one scope, ``a`` marked left and
-    ``b`` marked right, whose words agree to ``threshold`` (common / both together). A set agrees with itself.
-
-    Exact for thresholds of at least 0.7 (the bands rest on it). One row per set and scope is expected.
-
-    A hot hash doesn't lead to all pairs of the sets that hold it: it is made longer, word by word, until few sets share it, or
-    its words alone make the sets agree, or the sets share most of their words (then they are compared). Two sets that
-    agree to more words than a hash has share a longer one, too."""
-    if threshold < 0.7:
-        raise ValueError("the bands are made for thresholds of 0.7 and more")
-    tmp = tmp or Scratch(spark, "p1")
+# -- long sets: parts -------------------------------------------------------------------------------------------
+@lru_cache(maxsize=None)
+def bands(least: int, upto: int) -> tuple[tuple[int, int], ...]:
+    """Ranges of set sizes from ``least`` on, each a fifth wider than its start, up to the one that holds ``upto``."""
+    out, lo = [], least
+    while lo <= upto:
+        out.append((lo, lo + lo // 5))
+        lo += lo // 5 + 1
+    return tuple(out)
+
+
+def may_differ(a: int, b: int, per_mille: int) -> int:
+    """By so many words at most do agreeing sets of ``a`` and ``b`` words differ (words that one of them lacks)."""
+    return (a + b) * (1000 - per_mille) // (1000 + per_mille)
+
+
+def parts_of(band: tuple[int, int], per_mille: int) -> int:
+    """Parts for the sets of a band: fewer than words may differ, so that a part holds about four words and most sets
+    can leave their commonest parts out; enough for the longest set that may agree, with a tolerance of 1 each."""
+    hi = band[1]
+    return max(1, -(-3 * (may_differ(hi, hi, per_mille) + 1) // 4), -(-(may_differ(hi * 1000 // per_mille, hi, per_mille) + 1) // 2))
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    """The finaliser of a public 64-bit generator (splitmix64), over unsigned numbers."""
+    x = x + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class _Parts:
+    """The parts of some sets in the partition of a band each, and the hashes of the parts."""
+
+    def __init__(self, words: np.ndarray, sizes: np.ndarray, scopes: np.ndarray, lo: np.ndarray, parts: np.ndarray):
+        of = np.repeat(np.arange(len(sizes)), sizes)
+        self.mixed = _mix(words.view(np.uint64) ^ _mix(lo.astype(np.uint64))[of])
+        base = np.cumsum(parts) - parts
+        self.of_word = base[of] + ((self.mixed >> np.uint64(33)) % parts[of].astype(np.uint64)).astype(np.int64)
+        self.set = np.repeat(np.arange(len(sizes)), parts)  # of each part
+        self.number = np.arange(len(self.set)) - base[self.set]
+        self.count = np.bincount(self.of_word, minlength=len(self.set))
+        order = np.argsort(self.of_word, kind="stable")
+        self.total = np.zeros(len(self.set), np.uint64)
+        filled = np.nonzero(self.count)[0]
+        if len(filled):
+            self.total[filled] = np.add.reduceat(self.mixed[order], (np.cumsum(self.count) - self.count)[filled])
+        self.salt = _mix(_mix(scopes.view(np.uint64) ^ lo.astype(np.uint64))[self.set] + self.number.astype(np.uint64))
+
+    def whole(self, lacking: bool) -> np.ndarray:
+        """The hash of each part: as it is, or as it is looked up among the hashes of parts that lack one word."""
+        return _mix(self.total ^ self.salt ^ np.uint64(0x5851F42D4C957F2D if lacking else 0)).view(np.int64)
+
+    def without_one(self, w: np.ndarray, lacking: bool) -> np.ndarray:
+        """The hash of the part of each of the words numbered ``w`` without that word."""
+        p = self.of_word[w]
+        return _mix((self.total[p] - self.mixed[w]) ^ self.salt[p] ^ np.uint64(0x5851F42D4C957F2D if lacking else 0)).view(np.int64)
+
+
+def _columns(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
+    """``scope, set_id, sizes`` and the flat words of a batch, in slices of bounded words."""
+    lists = b.column(2)
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+    scope, ids = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+    at = 0
+    while at < len(sizes):
+        to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 200_000)))
+        yield scope[at:to], ids[at:to], sizes[at:to].astype(np.int64), lists.slice(at, to - at).flatten().to_numpy(zero_copy_only=False)
+        at = to
+
+
+def stored_hashes(per_mille: int, least: int, empties: bool):
+    """``(key, scope, set_id, n)``: each set's parts, and its parts that lack one of their words; the empty parts if wanted."""
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for scope, ids, sizes, words in _columns(b):
+                los, his = np.array(bands(least, int(sizes.max()))).T
+                band = np.searchsorted(los, sizes, side="right") - 1
+                parts = np.array([parts_of((int(x), int(y)), per_mille) for x, y in zip(los, his)])
+                p = _Parts(words, sizes, scope, los[band], parts[band])
+                at = np.arange(len(p.set)) if empties else np.nonzero(p.count)[0]
+                w = np.nonzero(p.count[p.of_word] >= (1 if empties else 2))[0]
+                of = np.concatenate([p.set[at], p.set[p.of_word[w]]])
+                key = np.concatenate([p.whole(False)[at], p.without_one(w, True)])
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(scope[of]), pa.array(ids[of]), pa.array(sizes[of].astype(np.int32))], ["key", "scope", "set_id", "n"])
+
+    return f
+
+
+def asked_hashes(per_mille: int, least: int, longer_than: int):
+    """``(key, scope, set_id, n, band, part, more, one, room)``: what a set may look up in each band of sizes that it may agree
+    with: for tolerance 0 (``more`` false) and in addition for 1. ``one``: the part holds one word and isn't given
+    tolerance 1; ``room``: the sum of (tolerance + 1) over the set's parts at most. Sets up to ``longer_than`` ask the bands
+    beyond it only. Where the filled parts don't give enough, the empty ones and tolerance 1 are asked, too (``room`` < 0)."""
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for scope, ids, sizes, words in _columns(b):
+                every = bands(least, int(sizes.max()) * 1000 // per_mille)
+                los, his = np.array(every).T
+                parts = np.array([parts_of(x, per_mille) for x in every])
+                small, large = -(-sizes * per_mille // 1000), sizes * 1000 // per_mille
+                small = np.where(sizes <= longer_than, np.maximum(small, longer_than + 1), small)
+                r, band = np.nonzero((his[None] >= small[:, None]) & (los[None] <= large[:, None]))
+                if not len(r):
+                    continue
+                first = np.cumsum(sizes) - sizes
+                flat = np.repeat(first[r] - (np.cumsum(sizes[r]) - sizes[r]), sizes[r]) + np.arange(int(sizes[r].sum()))
+                p = _Parts(words[flat], sizes[r], scope[r], los[band], parts[band])
+                needed = np.array([may_differ(int(n), min(int(hi), int(most)), per_mille) + 1 for n, hi, most in zip(sizes[r], his[band], large[r])])
+                room = np.bincount(p.set, np.minimum(p.count, 2), minlength=len(r)).astype(np.int64)
+                starved = room < needed
+                at = np.nonzero((p.count > 0) | starved[p.set])[0]
+                two = np.nonzero((p.count >= 2) | (starved[p.set] & (p.count >= 1)))[0]
+                w = np.nonzero((p.count[p.of_word] >= 2) | starved[p.set[p.of_word]])[0]
+                row = np.concatenate([at, two, p.of_word[w]])
+                key = np.concatenate([p.whole(False)[at], p.whole(True)[two], p.without_one(w, False)])
+                more = np.concatenate([np.zeros(len(at), bool), np.ones(len(two) + len(w), bool)])
+                of = p.set[row]
+                left = np.where(starved, -1, room)[of]
+                out = [key, scope[r[of]], ids[r[of]], sizes[r[of]].astype(np.int32), los[band[of]].astype(np.int64), p.number[row].astype(np.int32), more, (p.count[row] < 2) & ~starved[of], left.astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], ["key", "scope", "set_id", "n", "band", "part", "more", "one", "room"])
+
+    return f
+
+
+def choose(per_mille: int):
+    """Of what each set may look up in a band (``asked``: part, more, one, key and how many sets hold it), the keys that suffice
+    and that the fewest hold. Parts that hold nothing of what others hold are looked up for nothing."""
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keys, rows = [], []
+            for at, (n, lo, room, asked) in enumerate(zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)))):
+                need = may_differ(n, min(lo + lo // 5, n * 1000 // per_mille), per_mille) + 1
+                of: dict[int, list] = {}
+                for x in asked:
+                    p = of.setdefault(x["part"], [0, 0, x["one"], [], []])
+                    p[1 if x["more"] else 0] += x["held"]
+                    p[4 if x["more"] else 3].append(x["key"])
+                if room < 0:  # everything that is held by someone
+                    need = 1 << 60
+                else:
+                    need -= room - sum(1 if p[2] else 2 for p in of.values())
+                steps = []  # (cost of a unit, units, keys)
+                for part, (c0, c1, one, k0, k1) in of.items():
+                    if one:
+                        steps.append((c0, part, 0, 1, k0))
+                    elif c0 <= c1:
+                        steps += [(c0, part, 0, 1, k0), (c1, part, 1, 1, k1)]
+                    else:  # the second unit is the cheaper one: both or none
+                        steps.append(((c0 + c1) / 2, part, 0, 2, k0 + k1))
+                for _, _, _, units, ks in sorted(steps, key=lambda s: s[:3]):
+                    if need <= 0:
+                        break
+                    need -= units
+                    keys += ks
+                    rows += [at] * len(ks)
+            take = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *(b.column(i).take(take) for i in (0, 1, 2))], ["key", "scope", "set_id", "n"])
+
+    return f
+
+
+def _long_candidates(spark: SparkSession, sets: DataFrame, per_mille: int, tmp: Scratch) -> DataFrame | None:
+    """``(scope, a, b)``: pairs of which one has more than SHORT words and which share a hash of parts; None if there are no long sets."""
+    least = -(-(SHORT + 1) * per_mille // 1000)
+    some = sets.where(F.size("words") >= least)
+    if some.where(F.size("words") > SHORT).isEmpty():
+        return None
+    cols = ("scope", "set_id", "words")
+    asked = "key long, scope long, set_id long, n int, band long, part int, more boolean, one boolean, room int"
+    asked = tmp.cut(some.where("right").select(*cols).mapInArrow(asked_hashes(per_mille, least, SHORT), asked))
+    starved = not asked.where("room < 0").isEmpty()
+    held = tmp.cut(some.where("left").select(*cols).mapInArrow(stored_hashes(per_mille, least, starved), "key long, scope long, set_id long, n int"))
+    counts = held.groupBy("key").agg(F.count("*").alias("held"))
+    known = asked.join(counts, "key")
+    of = known.groupBy("scope", "set_id", "n", "band", "room").agg(F.collect_list(F.struct("part", "more", "one", "key", "held")).alias("asked"))  # a set's own words bound it
+    chosen = tmp.cut(of.mapInArrow(choose(per_mille), "key long, scope long, set_id long, n int"))
+    a = held.select("key", "scope", F.col("set_id").alias("a"), F.col("n").alias("na"))
+    b = chosen.select("key", "scope", F.col("set_id").alias("b"), F.col("n").alias("nb"))
+    found = a.join(b, ["key", "scope"]).where(f"greatest(na, nb) > {SHORT} and na * 1000 >= nb * {per_mille} and nb * 1000 >= na * {per_mille}")
+    return tmp.cut(found.select("scope", "a", "b").distinct())
+
+
+# -- short sets: subsets ----------------------------------------------------------------------------------------
+def _short_candidates(spark: SparkSession, sets: DataFrame, per_mille: int, tmp: Scratch) -> list[DataFrame]:
+    """``(scope, a, b)``: pairs of at most SHORT words that share a hash of words which suffices or which isn't hot."""
+    sets = sets.where(F.size("words") <= SHORT)
     # a total of words first; only those at or above the bound come to the driver
-    df = sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"))
-    df = tmp.cut(df)
+    df = tmp.cut(sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")))
     total = df.agg(F.sum("n")).first()[0] or 0
     often = {r["w"]: r["n"] for r in df.where(F.col("n") >= max(2.0, FREQUENT * total)).collect()}
     order = spark.sparkContext.broadcast(often)
-    per_mille = round(threshold * 1000)
 
     cols = ["key", "scope", "set_id", "n", "left", "right", "last", "level"]
     schema = "key long, scope long, set_id long, n int, left boolean, right boolean, last int, level int"
@@ -113,13 +297,11 @@ def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, bands=
                         yield i, scope, i, n, left, right, n, n
                         continue
                     w.sort(key=lambda x: (rank.get(x, 0), x))
-                    for lo, hi, size in bands:
-                        if lo <= n <= hi:
-                            for c in combinations(range(head(n, size)), min(size, n)):
-                                key = size
-                                for p in c:
-                                    key = chain(key, w[p])
-                                yield key, scope, i, n, left, right, c[-1], size
+                    for c in combinations(range(head(n, WORDS)), WORDS):
+                        key = WORDS
+                        for p in c:
+                            key = chain(key, w[p])
+                        yield key, scope, i, n, left, right, c[-1], WORDS
 
         return emit(found())
 
@@ -136,15 +318,13 @@ def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, bands=
 
         return emit(found())
 
-    # the largest set that may be hashed by one word more, for each number of words
-    longest = [max((n for n in range(1, 400) if comb(head(n, level + 1), level + 1) <= MOST_HASHES), default=0) for level in range(1, 41)]
-    may = F.col("n") <= F.try_element_at(F.array(*(F.lit(n) for n in longest)), F.col("level"))
     words = sets.select("scope", "set_id", "words")
     k = tmp.cut(sets.select("scope", "set_id", "words", "left", "right").mapInArrow(keys, schema))
-    near = None
+    near = []
     while True:
-        sides = k.groupBy("key", "scope").agg(F.count_if("left").alias("l"), F.count_if("right").alias("r"), F.min(F.coalesce(may, F.lit(False))).alias("may")).where("l > 0 and r > 0")
-        sides = tmp.cut(sides.select("key", "scope", ((F.col("l") > HOT) & (F.col("r") > HOT) & F.col("may")).alias("hot")))
+        sides = k.groupBy("key", "scope").agg(F.count_if("left").alias("l"), F.count_if("right").alias("r"), F.min("n").alias("n")).where("l > 0 and r > 0")
+        # sets of one or two words are equal if they share a hash: no words are left to make it longer
+        sides = tmp.cut(sides.select("key", "scope", ((F.col("l") > HOT) & (F.col("r") > HOT) & (F.col("n") >= 3)).alias("hot")))
         some = k.join(sides, ["key", "scope"])
         cold, hot = some.where("not hot"), tmp.cut(some.where("hot").drop("hot"))
         a = cold.where("left").select("key", "scope", F.col("set_id").alias("a"), F.col("n").alias("na"))
@@ -158,12 +338,39 @@ def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, bands=
             a = enough.where("left").select("key", "scope", F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("other").alias("nb"))
             b = enough.where("right").select("key", "scope", F.col("set_id").alias("b"), F.col("other").alias("na"), F.col("n").alias("nb"))
             found = found.unionByName(a.join(b, ["key", "scope", "na", "nb"]).select("scope", "a", "b"))
-        found = tmp.cut(found.distinct())
-        near = found if near is None else near.unionByName(found)
+        near.append(tmp.cut(found.distinct()))
         if not any_hot:
-            break
+            return near
         k = tmp.cut(hot.join(words, ["scope", "set_id"]).select(*cols, "words").mapInArrow(longer, schema))
-    near = near.distinct()
+
+
+def agreeing_sets(spark: SparkSession, sets: DataFrame, threshold: float, few: int = FEW, tmp: Scratch | None = None) -> DataFrame:
+    """``(scope, a, b)``: pairs of sets of ``sets(scope, set_id, words, left, right)`` in one scope, ``a`` marked left and
+    ``b`` marked right, whose words agree to ``threshold`` (common / both together). A set agrees with itself.
+
+    Exact for thresholds of at least 0.7 (the number of words of the short hashes rests on it). One row per set and
+    scope is expected. Scopes with at most ``few`` pairs a set are compared as they are.
+
+    A hash that many sets share doesn't lead to all pairs of them: short sets make it longer until few share it or its words
+    alone make the sets agree; long sets look up other parts."""
+    if threshold < 0.7:
+        raise ValueError("the short hashes are made for thresholds of 0.7 and more")
+    tmp = tmp or Scratch(spark, "p1")
+    per_mille = round(threshold * 1000)
+    words = sets.select("scope", "set_id", "words")
+    sides = sets.groupBy("scope").agg(F.count_if("left").alias("l"), F.count_if("right").alias("r")).where("l > 0 and r > 0")
+    sides = tmp.cut(sides.select("scope", (F.col("l") * F.col("r") <= few * (F.col("l") + F.col("r"))).alias("plain")))
+    some = sets.join(sides, "scope")
+    plain, many = some.where("plain"), tmp.cut(some.where("not plain").drop("plain"))
+    a = plain.where("left").select("scope", F.col("set_id").alias("a"), F.size("words").alias("na"))
+    b = plain.where("right").select("scope", F.col("set_id").alias("b"), F.size("words").alias("nb"))
+    near = a.join(b, "scope").where(f"na * 1000 >= nb * {per_mille} and nb * 1000 >= na * {per_mille}").select("scope", "a", "b")
+    if not many.isEmpty():
+        for found in _short_candidates(spark, many, per_mille, tmp):
+            near = near.unionByName(found)
+        if (found := _long_candidates(spark, many, per_mille, tmp)) is not None:
+            near = near.unionByName(found)
+        near = near.distinct()
     near = near.join(words.select("scope", F.col("set_id").alias("a"), F.col("words").alias("wa")), ["scope", "a"])
     near = near.join(words.select("scope", F.col("set_id").alias("b"), F.col("words").alias("wb")), ["scope", "b"])
     both = F.size(F.array_intersect("wa", "wb"))
@@ -203,7 +410,7 @@ def split_overlaps(spark: SparkSession, samples: DataFrame, threshold: float = 0
     held = held.select("scope", "set_id", "train", "sample_id")
     scoped = on.join(positives, "sample_id").groupBy("scope", "set_id").agg(F.min("words").alias("words"), F.max("train").alias("left"), F.max(~F.col("train")).alias("right"))
     scoped = tmp.cut(scoped)
-    same = agreeing_sets(spark, scoped, threshold, bands=((3, 1 << 40, 1),), tmp=tmp)
+    same = agreeing_sets(spark, scoped, threshold, tmp=tmp)
     pairs = same.join(held.where("train").select("scope", F.col("set_id").alias("a"), F.col("sample_id").alias("train")), ["scope", "a"])
     pairs = pairs.join(held.where("not train").select("scope", F.col("set_id").alias("b"), F.col("sample_id").alias("held")), ["scope", "b"])
     exact = agree.select("scope", (F.col("a") == F.col("b")).alias("equal_query"))
@@ -218,7 +425,7 @@ def overlap_pairs(spark: SparkSession, samples: DataFrame, threshold: float = 0.
 
 
 def overlap_report(spark: SparkSession, samples: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """``(split, dataset, samples, overlapping, pairs, equal_pairs)`` for validation and test: samples with a query, those that
+    """``(split, dataset, samples, overlapping, pairs, equal_pairs)`` for validation and test: all samples, those that
     overlap with training samples, and the pairs, by split and dataset (case and outer blanks set aside)."""
     tmp = Scratch(spark, "p1")
     p = tmp.cut(split_overlaps(spark, samples, threshold))

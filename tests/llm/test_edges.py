@@ -62,9 +62,29 @@ def test_agreeing_sets_lose_nothing(spark, seed, monkeypatch):
     df = spark.createDataFrame([(0, i, list(s), i % 2 == 0, i % 3 > 0) for i, s in enumerate(sets)], "scope long, set_id long, words array<bigint>, left boolean, right boolean")
     want = sorted((0, i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i % 2 == 0 and j % 3 > 0 and len(set(a) & set(b)) * 10 >= 7 * len(set(a) | set(b)))
     assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want and len(want) > 100
-    assert rows(overlap.agreeing_sets(spark, df, 0.7, bands=((3, 1 << 40, 1),))) == want
     monkeypatch.setattr(overlap, "HOT", 0)  # every shared hash is hot and made longer
-    assert rows(overlap.agreeing_sets(spark, df, 0.7, bands=((3, 1 << 40, 1),))) == want
+    assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want
+    monkeypatch.setattr(overlap, "SHORT", 8)  # nearly all by parts, so small that many are empty
+    assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want
+
+
+def test_sets_of_few_scopes_are_compared_as_they_are(spark):
+    data = [(i // 4, i, sorted({1, 2, 3, 4, 5, 6, 7, 8, i % 3}), i % 2 == 0, i % 2 == 1) for i in range(40)]
+    df = spark.createDataFrame(data, "scope long, set_id long, words array<bigint>, left boolean, right boolean")
+    assert rows(overlap.agreeing_sets(spark, df, 0.7)) == rows(overlap.agreeing_sets(spark, df, 0.7, few=0)) == sorted((s, a, b) for s, a, _, l, _ in data for t, b, _, _, r in data if s == t and l and r)
+
+
+def test_long_sets_of_common_words_give_few_candidates(spark, tmp_path):
+    """Sets of 150 of 30,000 words, of which none agree: candidates don't grow with the square of the sets."""
+    from millrace.session import Scratch
+
+    for n, template in ((2000, 0), (2000, 60)):
+        rng = np.random.default_rng(5)
+        data = [(0, i, sorted({*range(-template, 0), *rng.choice(30_000, 150 - template, replace=False).tolist()}), i % 2 == 0, i % 2 == 1) for i in range(n)]
+        data += [(0, n, data[7][2][:140] + [90_000, 90_001], True, False)]
+        df = spark.createDataFrame(data, "scope long, set_id long, words array<bigint>, left boolean, right boolean")
+        found = overlap._long_candidates(spark, df, 700, Scratch(spark, "test"))
+        assert found.where(f"a = {n} and b = 7").count() == 1 and found.count() < 2 * n
 
 
 def test_a_phrase_that_many_queries_share(spark):
