@@ -49,16 +49,18 @@ def best_fit(sizes: list[int], capacity: int) -> list[int]:
     return bins
 
 
-def pack(spark: SparkSession, items: DataFrame, capacities: DataFrame, chunk: int = CHUNK, fan_in: int = FAN_IN, nearly_full: float = NEARLY_FULL) -> DataFrame:
+def pack(spark: SparkSession, items: DataFrame, capacities: DataFrame, chunk: int = CHUNK, fan_in: int = FAN_IN, nearly_full: float = NEARLY_FULL, all_up: bool = False) -> DataFrame:
     """``(item, dataset, piece, size, bin_id)``: a bin for each piece of each item of ``items(item, dataset, size)``;
     bins of a dataset hold its ``capacity`` of ``capacities(dataset, capacity)`` and are numbered from 0.
 
     An item larger than the capacity is cut into full pieces and a rest; no other item is cut (``piece`` 0 only).
     Null and negative sizes count as 0. A dataset without a positive capacity has one bin without bound.
 
-    Bounds: a first-round task packs about ``chunk`` items. After best-fit no two bins of a task fit together, so
-    at most one is filled to half or less; merging ``fan_in`` tasks can therefore fill up at most ``fan_in`` bins
-    above half, and each task sends up its bin below half and the ``fan_in`` roomiest others."""
+    Bounds: a first-round task packs about ``chunk`` items. After best-fit no two bins of a task fit together, so at most one
+    is filled to half or less. Bins above half never fit together, so a merge of ``fan_in`` tasks adds something to at most
+    ``fan_in`` of them, and all merges on the way to the root to at most ``fan_in`` times their number. Each task sends up its
+    bin below half and as many of the roomiest others: any other partner could be exchanged for one of these that is unused and
+    has more room, so no union of bins is lost by the rest being final (``all_up`` sends all, for comparison)."""
     tmp = Scratch(spark, "p2")
     sized = items.select("item", "dataset", F.greatest(F.coalesce(F.col("size").cast("long"), F.lit(0)), F.lit(0)).alias("size"))
     # cells of a dataset's items that are equal null-safely; capacities are a table of datasets, joined by name
@@ -83,10 +85,11 @@ def pack(spark: SparkSession, items: DataFrame, capacities: DataFrame, chunk: in
     placed = tmp.cut(rest.groupBy("dataset", "part").applyInPandas(first, f"item {kind}, dataset string, capacity long, piece long, size long, part long, bin string"))
     bins = placed.groupBy("dataset", "capacity", "part", "bin").agg(F.sum("size").alias("level"))
 
-    def open_bins(bins: DataFrame) -> DataFrame:
-        """Those that go up: not nearly full; of each task the one filled to half or less and the roomiest others."""
+    def open_bins(bins: DataFrame, merges: int) -> DataFrame:
+        """Those that go up with so many merges to come: not nearly full; of each task the one filled to half or less and the
+        roomiest others."""
         under = bins.where(F.col("level") < F.col("capacity") * nearly_full)
-        return under.withColumn("rk", F.row_number().over(W.partitionBy("dataset", "part").orderBy("level", "bin"))).where(F.col("rk") <= fan_in + 1).drop("rk")
+        return under.withColumn("rk", F.row_number().over(W.partitionBy("dataset", "part").orderBy("level", "bin"))).where(F.lit(all_up) | (F.col("rk") <= fan_in * merges + 1)).drop("rk")
 
     def merge(round_: int):
         def f(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
@@ -98,11 +101,13 @@ def pack(spark: SparkSession, items: DataFrame, capacities: DataFrame, chunk: in
         return f
 
     widest = counts.agg(F.max(F.ceil(F.col("n") / chunk))).first()[0] or 0
-    merged, round_ = None, 0
+    merged, round_, merges = None, 0, 0
+    while fan_in**merges < widest:
+        merges += 1
     current = bins
     while widest > 1:
         round_ += 1
-        up = open_bins(current).withColumn("part", F.floor(F.col("part") / fan_in))
+        up = open_bins(current, merges - round_ + 1).withColumn("part", F.floor(F.col("part") / fan_in))
         step = tmp.cut(up.groupBy("dataset", "part").applyInPandas(merge(round_), "dataset string, capacity long, part long, bin string, level long, into string"))
         current = step.groupBy("dataset", "capacity", "part", F.col("into").alias("bin")).agg(F.sum("level").alias("level"))
         if merged is None:
