@@ -58,30 +58,43 @@ def entity_columns(keys: DataFrame) -> DataFrame:
 
 
 def components(spark: SparkSession, nodes: DataFrame, keys: DataFrame, tmp: Scratch):
-    """``(rows, groups)``: every record of ``keys`` with the component of its entity, and ``(node_id, group_id)``."""
+    """``(rows, groups)``: every record of ``keys`` with its component, and ``(node_id, group_id)``.
+
+    An entity links its groups as a star around the smallest; entities with one group link nothing, so the second search runs over
+    what is left to link."""
     groups = tmp.cut(node_groups(spark, nodes, keys, tmp))
     rows = entity_columns(keys).join(groups.withColumnRenamed("node_id", "node"), "node", "left")
-    # one number space: groups are even, entities odd (a hash; should two entities share it, they stay together)
-    rows = tmp.cut(rows.withColumn("entity", F.shiftleft(F.xxhash64("dataset", "value"), 1).bitwiseOR(F.lit(1))).withColumn("grp", F.shiftleft("group_id", 1)))
-    links = rows.select(F.col("entity").alias("a"), F.coalesce("grp", "entity").alias("b")).distinct()
-    comp = connected_groups(spark, links, tmp)
-    return tmp.cut(rows.join(comp.select(F.col("node").alias("entity"), F.col("grp").alias("component")), "entity").drop("entity", "grp")), groups
+    # one number space: groups are even, entities without one odd (a hash; should two entities share it, they stay together)
+    rows = rows.withColumn("entity", F.xxhash64("dataset", "value"))
+    rows = tmp.cut(rows.withColumn("own", F.coalesce(F.shiftleft("group_id", 1), F.shiftleft("entity", 1).bitwiseOR(F.lit(1)))))
+    hubs = rows.groupBy("entity").agg(F.min("own").alias("b"), F.max("own").alias("top")).where("b < top").drop("top")
+    links = rows.select("entity", F.col("own").alias("a")).distinct().join(hubs, "entity").where("a <> b").select("a", "b").distinct()
+    comp = connected_groups(spark, links, tmp).select(F.col("node").alias("own"), "grp")
+    return tmp.cut(rows.join(comp, "own", "left").withColumn("component", F.coalesce("grp", "own")).drop("entity", "own", "grp")), groups
 
 
-def grouped_split(spark: SparkSession, nodes: DataFrame, keys: DataFrame, targets: DataFrame, chunk: int = CHUNK, heavy: float = HEAVY) -> DataFrame:
+def grouped_split(spark: SparkSession, nodes: DataFrame, keys: DataFrame, targets: DataFrame, chunk: int = CHUNK, heavy: float = HEAVY, assignments: DataFrame | None = None) -> DataFrame:
     """``(dataset, kind, value, component, split_name)``: one row for each entity (and kind); all records of a
-    component share a split.
+    component share a split. With ``assignments`` also ``first_shard`` and ``last_shard``, the least and the largest shard that the
+    current rows of the entity's groups name (null: none): where they differ, the present shards tear what the split keeps together.
 
     Labels of a record are its dataset with its kind, and its dataset with its language. Heavy components are placed
     by one task (their number is bounded), which knows what is then still wanted; light ones by tasks that each get
     their part of that, in proportion to the labels they hold. Null shares count as 0; with no targets there is no
     row. Nodes that no row of ``nodes`` names form no group: their entity stands alone."""
     tmp = Scratch(spark, "p4")
-    rows, _ = components(spark, nodes, keys, tmp)
+    rows, groups = components(spark, nodes, keys, tmp)
+    present, shown = [], []
+    if assignments is not None:
+        named = current_rows(assignments).where("shard_id is not null").join(groups, F.col("root") == F.col("node_id"))
+        named = named.groupBy("group_id").agg(F.min("shard_id").alias("first_shard"), F.max("shard_id").alias("last_shard"))
+        rows = rows.join(named, "group_id", "left")
+        present = [F.min("first_shard").alias("first_shard"), F.max("last_shard").alias("last_shard")]
+        shown = ["first_shard", "last_shard"]
     goal = targets.groupBy("split_name").agg(F.sum(F.coalesce("target_share", F.lit(0.0))).alias("share")).orderBy("split_name").collect()  # a fixed handful of splits
     names, shares = [g["split_name"] for g in goal], [g["share"] for g in goal]
     if not names or sum(shares) <= 0:
-        return rows.select("dataset", "kind", "value", "component", F.lit(None).cast("string").alias("split_name")).limit(0)
+        return rows.select("dataset", "kind", "value", "component", F.lit(None).cast("string").alias("split_name"), *shown).limit(0)
     shares = [s / sum(shares) for s in shares]
     labels = rows.select("component", F.explode(F.array(F.concat_ws("/", F.lit("kind"), "dataset", "kind"), F.concat_ws("/", F.lit("lang"), "dataset", "lang"))).alias("label"))
     vectors = tmp.cut(labels.groupBy("component", "label").agg(F.count("*").alias("n")))
@@ -148,16 +161,16 @@ def grouped_split(spark: SparkSession, nodes: DataFrame, keys: DataFrame, target
     spread = light.join(cells, ["label", "part"]).join(wanted, "label").groupBy("part").applyInPandas(later, schema)
     final = tmp.cut(chosen.unionByName(spread))
     word = F.element_at(F.array(*(F.lit(n) for n in names)), F.col("split") + 1)
-    entities = rows.select("dataset", "kind", "value", "component").distinct()
-    return entities.join(final, "component").select("dataset", "kind", "value", "component", word.alias("split_name"))
+    entities = rows.select("dataset", "kind", "value", "component", *(["group_id", *shown] if shown else [])).distinct()
+    if shown:
+        entities = entities.groupBy("dataset", "kind", "value", "component").agg(*present)
+    return entities.join(final, "component").select("dataset", "kind", "value", "component", word.alias("split_name"), *shown)
 
 
-def torn_entities(spark: SparkSession, nodes: DataFrame, keys: DataFrame, assignments: DataFrame) -> DataFrame:
-    """``(dataset, kind, value)``: entities whose groups' current rows name at least two different shards.
+def torn_entities(spark: SparkSession, nodes: DataFrame, keys: DataFrame, assignments: DataFrame, targets: DataFrame) -> DataFrame:
+    """``(dataset, kind, value)``: entities that the split keeps together although their groups' current rows name at least two
+    different shards.
 
-    Null shards name none; a root outside ``nodes`` belongs to no group."""
-    tmp = Scratch(spark, "p4")
-    rows, groups = components(spark, nodes, keys, tmp)
-    shards = current_rows(assignments).where("shard_id is not null").join(groups, F.col("root") == F.col("node_id")).groupBy("group_id").agg(F.min("shard_id").alias("lo"), F.max("shard_id").alias("hi"))
-    of = rows.select("dataset", "kind", "value", "group_id").distinct().join(shards, "group_id")
-    return of.groupBy("dataset", "kind", "value").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi").select("dataset", "kind", "value")
+    Null shards name none; a root outside ``nodes`` belongs to no group. Without targets there is no split and no row."""
+    placed = grouped_split(spark, nodes, keys, targets, assignments=assignments)
+    return placed.where("first_shard < last_shard").select("dataset", "kind", "value")
