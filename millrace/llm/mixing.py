@@ -8,6 +8,7 @@ programme for the rest. Which documents of a length are taken is decided by a se
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -85,28 +86,35 @@ def fit_lengths(lengths: list[int], counts: list[int], budget: int) -> list[int]
         more = min(counts[i] - take[i], -(-(left - limit // 2) // lengths[i]), left // lengths[i])
         take[i] += max(0, more)
         left -= max(0, more) * lengths[i]
-    # reachable sums as the bits of one integer; an item of a length counts in powers of two
-    mask = (1 << (left + 1)) - 1
-    steps, sums = [], 1
+    # reachable sums as the bits of one integer; an item of a length counts in powers of two. Of each sum only the step that
+    # reached it first is kept: what it was reached from was there before, so steps lead back to 0, each used once at most
+    mask, size = (1 << (left + 1)) - 1, left // 8 + 1
+    by, steps, sums = np.zeros(left + 1, np.int32), [(0, 0)], 1
     for i in order:
         rest, k = min(counts[i] - take[i], left // lengths[i]), 1
-        while rest > 0:
+        while rest > 0 and not sums >> left:
             k = min(k, rest)
-            steps.append((i, k, sums))
-            sums |= (sums << (k * lengths[i])) & mask
+            more = sums | (sums << (k * lengths[i])) & mask
+            if more != sums:
+                new = np.unpackbits(np.frombuffer((more ^ sums).to_bytes(size, "little"), np.uint8), count=left + 1, bitorder="little")
+                by[new.view(bool)] = len(steps)
+                steps.append((i, k))
+                sums = more
             rest -= k
             k *= 2
+        if sums >> left:  # filled to the unit
+            break
     at = sums.bit_length() - 1
-    for i, k, before in reversed(steps):
-        if not before >> at & 1:
-            take[i] += k
-            at -= k * lengths[i]
+    while at:
+        i, k = steps[by[at]]
+        take[i] += k
+        at -= k * lengths[i]
     return take
 
 
 def plan_mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, size=whitespace_size, tmp: Scratch | None = None):
     """The sized documents of the listed sources, and a row for each source and length: how many documents of that
-    length are taken once more than ``passes`` times; and a row for each source with size, budget and ``short``.
+    length are taken once more than ``passes`` times; and a row for each source with size and budget.
 
     Sources are compared without case and outer blanks. A listed source without documents has size 0. Null texts
     count as size 0. A source listed twice adds its shares and keeps the larger repeat cap; a null cap is 0."""
@@ -122,7 +130,6 @@ def plan_mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, size
     plan = wanted.join(sizes, "source", "left").fillna(0, ["size", "docs"])
     plan = plan.crossJoin(F.broadcast(sizes.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("total"))))  # one row
     plan = plan.withColumn("budget", F.coalesce(F.col("target_share"), F.lit(0.0)) * F.col("total"))
-    plan = plan.withColumn("short", F.col("max_repeats") * F.col("size") < F.col("budget"))
     whole = F.when(F.col("size") > 0, F.floor(F.col("budget") / F.col("size"))).otherwise(0)
     plan = plan.withColumn("passes", F.least("max_repeats", whole))
     plan = plan.withColumn("rest", F.when(F.col("passes") < F.col("max_repeats"), F.floor("budget") - F.col("passes") * F.col("size")).otherwise(0).cast("long"))
@@ -159,8 +166,11 @@ def mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, size=whit
 
 
 def shares(spark: SparkSession, documents: DataFrame, targets: DataFrame, size=whitespace_size) -> DataFrame:
-    """``(source, docs, size, target_share, budget, taken, actual_share, short)``: what the mix takes of each source."""
+    """``(source, docs, size, target_share, budget, taken, actual_share, short)``: what the mix takes of each source. ``short``: the
+    filling took every document as often as it may be repeated and the budget isn't reached. The share is null if nothing is taken."""
     _, taken, plan = plan_mix(spark, documents, targets, size)
-    got = taken.groupBy("source").agg(F.sum(F.col("len") * (F.col("n") * F.col("passes") + F.col("take"))).alias("taken"))
-    out = plan.join(got, "source", "left").fillna(0, ["taken"])
+    uses = F.col("n") * F.col("passes") + F.col("take")
+    got = taken.groupBy("source").agg(F.sum(F.col("len") * uses).alias("taken"), F.sum(F.when(F.col("len") > 0, uses)).alias("uses"), F.sum(F.when(F.col("len") > 0, F.col("n"))).alias("sized"))
+    out = plan.join(got, "source", "left").fillna(0, ["taken", "uses", "sized"])
+    out = out.withColumn("short", (F.col("uses") == F.col("sized") * F.col("max_repeats")) & (F.col("taken") < F.col("budget")))
     return out.select("source", "docs", "size", "target_share", "budget", "taken", F.try_divide("taken", F.sum("taken").over(W.partitionBy())).alias("actual_share"), "short")

@@ -36,7 +36,7 @@ def p3_found(spark, d):
 
 
 def p4_found(spark, d):
-    return splits.torn_entities(spark, _t(spark, d, "nodes"), _t(spark, d, "scoped_keys"), _t(spark, d, "component_assignments"))
+    return splits.torn_entities(spark, _t(spark, d, "nodes"), _t(spark, d, "scoped_keys"), _t(spark, d, "component_assignments"), _t(spark, d, "split_targets"))
 
 
 def p4_splits(spark, d):
@@ -67,6 +67,10 @@ def p7_shares(spark, d):
     return mixing.shares(spark, _t(spark, d, "documents"), _t(spark, d, "mix_targets"))
 
 
+def p7_shares_tokens(spark, d):
+    return mixing.shares(spark, _t(spark, d, "documents"), _t(spark, d, "mix_targets"), size=mixing.tokenizer_size())
+
+
 def p7_mix(spark, d):
     return mixing.mix(spark, _t(spark, d, "documents"), _t(spark, d, "mix_targets"))
 
@@ -88,7 +92,7 @@ def p8_classes(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    names = "p1_found p1_report p2_found p2_shards p3_found p4_found p4_splits p5_found p5_most_similar p6_found p6_passages p7_found p7_shares p7_mix p7_mix_tokens p8_found p8_forms p8_classes".split()
+    names = "p1_found p1_report p2_found p2_shards p3_found p4_found p4_splits p5_found p5_most_similar p6_found p6_passages p7_found p7_shares p7_shares_tokens p7_mix p7_mix_tokens p8_found p8_forms p8_classes".split()
     return {n: globals()[n] for n in names}
 
 

@@ -134,6 +134,18 @@ def test_packing_in_many_rounds(spark):
         assert max(mine) <= cap and len(mine) <= 1.03 * at_once + 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_packing_loses_nothing_by_sending_up_the_roomiest(spark, seed):
+    """As few bins as if every underfull bin went up."""
+    rng = random.Random(seed)
+    sizes = [rng.choice([rng.randint(1, 30), rng.randint(30, 100), rng.randint(51, 70)]) for _ in range(2500)]
+    items = spark.createDataFrame([(i, "a", n) for i, n in enumerate(sizes)], ITEMS)
+    caps = spark.createDataFrame([("a", 100)], CAPS)
+    count = lambda **o: packing.pack(spark, items, caps, chunk=40, fan_in=4, **o).select("bin_id").distinct().count()
+    some = count()
+    assert some <= count(all_up=True)
+
+
 def test_current_row_ties(spark):
     a = spark.createDataFrame([(1, "A", 5, 0, None), (1, "a ", 9, 1, "2024-01-01"), (1, "a", 9, 2, "2024-01-01"), (2, None, None, None, None), (None, "a", 1, 1, None)], "root long, dataset string, row_count long, shard_id int, at string").withColumn("assigned_at", F.to_timestamp("at"))
     assert rows(packing.current_rows(a).select("root", "dataset", "row_count", "shard_id").where("root = 1")) == [(1, "a", 9, 2)]
@@ -213,8 +225,11 @@ def test_torn_edges(spark):
     n = nodes(spark, [(1, None), (2, None), (3, None)])
     k = scoped(spark, [("q", "v", "en", "d", 1), ("q", " v", "ru", "d", 2), ("q", "w", None, "d", 3), ("q", "gone", None, "d", 77)])
     a = spark.createDataFrame([(1, "d", 1, 0, "2024-01-01"), (2, "d", 1, 1, "2024-01-01"), (2, "d", 1, 0, "2023-01-01"), (3, "d", 1, None, "2024-01-01"), (88, "d", 1, 5, "2024-01-01")], "root long, dataset string, row_count long, shard_id int, at string").withColumn("assigned_at", F.to_timestamp("at"))
-    assert rows(splits.torn_entities(spark, n, k, a)) == [("d", "q", "v")]
-    assert splits.torn_entities(spark, n, k, a.limit(0)).count() == 0
+    t = spark.createDataFrame([("train", 0.5), ("test", 0.5)], "split_name string, target_share double")
+    assert rows(splits.torn_entities(spark, n, k, a, t)) == [("d", "q", "v")]
+    assert splits.torn_entities(spark, n, k, a.limit(0), t).count() == 0 and splits.torn_entities(spark, n, k, a, t.limit(0)).count() == 0
+    placed = {r["value"]: (r["first_shard"], r["last_shard"]) for r in splits.grouped_split(spark, n, k, t, assignments=a).collect()}
+    assert placed == {"v": (0, 1), "w": (None, None), "gone": (None, None)}
 
 
 # -- 5 --------------------------------------------------------------------------------------------------------

@@ -298,3 +298,19 @@ def test_subset_sum_with_a_large_budget():
         take = fit_lengths(lengths, counts, budget)
         assert all(0 <= t <= c for t, c in zip(take, counts))
         assert sum(t * n for t, n in zip(take, lengths)) == budget
+
+
+def test_subset_sum_with_one_very_long_document():
+    """Memory doesn't grow with the number of lengths times the longest: 8,000 lengths and one of two million units."""
+    import tracemalloc
+
+    from millrace.llm.mixing import fit_lengths
+
+    lengths = [*range(400, 8400), 2_000_000]
+    counts = [1] * len(lengths)
+    tracemalloc.start()
+    for budget in (3_333_333, 2_000_399, 30_000_001):
+        take = fit_lengths(lengths, counts, budget)
+        assert sum(t * n for t, n in zip(take, lengths)) == budget and all(0 <= t <= 1 for t in take)
+    assert tracemalloc.get_traced_memory()[1] < 300e6
+    tracemalloc.stop()
