@@ -14,6 +14,10 @@ from ..session import Scratch
 from . import charform
 
 
+#: Rows of one text that meet those of another in one task.
+BLOCK = 4096
+
+
 def character_counts(texts: DataFrame, text_col: str = "text") -> DataFrame:
     """``(character, n)`` of the characters of look-alike classes, over all texts. Partial counts leave
     Python once per batch, so what is shuffled is bounded by the alphabet."""
@@ -71,16 +75,24 @@ def form_hashes(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def look_alike_pairs(spark: SparkSession, texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_a, doc_b)``: texts that differ, but only in character form; the smaller id first, rows distinct.
 
-    Exact copies of one text are no case, so groups with one text only are dropped before the join; what is
-    joined are the texts of the other groups. Null texts are no case; an empty text and one of nothing but
-    characters without width are."""
+    Exact copies of one text are no case, so groups with one text only are dropped before the join. Different texts of
+    a form are paired first, then the rows of the rarer text meet those of the more frequent one in blocks of BLOCK rows: a
+    text with a third of all rows is spread over many tasks, and what is made is little more than the result. Null texts are
+    no case; an empty text and one of nothing but characters without width are."""
     tmp = Scratch(spark, "p8")
     h = tmp.cut(form_hashes(texts, id_col, text_col))
     mixed = h.groupBy("form").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi")).where("lo <> hi").select("form")
-    rows = h.join(mixed, "form", "left_semi").distinct()
-    a, b = rows.alias("a"), rows.alias("b")
-    pairs = a.join(b, (F.col("a.form") == F.col("b.form")) & (F.col("a.raw") != F.col("b.raw")) & (F.col("a.id") < F.col("b.id")))
-    return pairs.select(F.col("a.id").alias("doc_a"), F.col("b.id").alias("doc_b")).distinct()
+    rows = tmp.cut(h.join(mixed, "form", "left_semi").distinct())
+    t = tmp.cut(rows.groupBy("form", "raw").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"), F.count("*").alias("n")))
+    few = t.select("form", F.col("raw").alias("few"), F.col("n").alias("n_few"))
+    many = t.select("form", F.col("raw").alias("many"), F.col("n").alias("n_many"), "blocks")
+    two = few.join(many, "form").where("n_few < n_many or (n_few = n_many and few < many)").select("few", "many", "blocks")
+    # the hash of a text is of 128 bits: it names the text without its form
+    one = two.join(rows.select(F.col("raw").alias("few"), F.col("id").alias("a")), "few")
+    one = one.select("many", "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    other = rows.join(t.select("raw", "blocks"), "raw").select(F.col("raw").alias("many"), F.col("id").alias("b"), F.pmod(F.xxhash64("id"), F.col("blocks")).alias("block"))
+    pairs = one.join(other, ["many", "block"]).where("a <> b")
+    return pairs.select(F.least("a", "b").alias("doc_a"), F.greatest("a", "b").alias("doc_b")).distinct()
 
 
 def form_classes(texts: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

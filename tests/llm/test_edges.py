@@ -357,6 +357,20 @@ def test_copies_of_one_text_are_no_pairs(spark):
     assert len(got) == 1999 and all(7 in p for p in got)
 
 
+def test_pairs_of_a_frequent_and_some_rare_texts_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(lookalike, "BLOCK", 50)
+    rows_ = [(i, "сору" if i % 5 else ("copy" if i % 2 else "coрy")) for i in range(600)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string")
+    want = {(a, b) for a, x in rows_ for b, y in rows_ if a < b and x != y}
+    got = rows(lookalike.look_alike_pairs(spark, df))
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_letters_of_one_shape_where_case_is_set_aside():
+    assert charform.words("lӏ") != charform.words("iӀ") and charform.words("Ӕther Ҽ") == charform.words("ÆTHER ҽ")
+    assert len({tuple(charform.words(w)) for w in ("link", "iink", "van", "nan")}) == 4
+
+
 def test_form_is_stable_under_rewriting():
     table = charform.rewrites({"е": 5, "a": 1, "о": 3})
     rewrite = charform.Rewriter(table)
