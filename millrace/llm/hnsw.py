@@ -26,6 +26,19 @@ class Hnsw:
             self._insert(np.arange(at, to))
             at = to
 
+    def to_bytes(self) -> dict:
+        """The graph as flat arrays: the vectors, the neighbours of each layer, the degree of each layer, and the entry."""
+        return {"vectors": self.x.tobytes(), "neighbours": [layer.tobytes() for layer in self.layers], "degrees": [layer.shape[1] for layer in self.layers], "entry": self.entry, "entry_level": self.entry_level}
+
+    @classmethod
+    def from_bytes(cls, dim: int, vectors: bytes, neighbours, degrees, entry: int, entry_level: int) -> Hnsw:
+        """A graph to be searched, over the flat arrays as they were stored."""
+        g = cls.__new__(cls)
+        g.x = np.frombuffer(vectors, np.float32).reshape(-1, dim)
+        g.layers = [np.frombuffer(b, np.int32).reshape(-1, int(w)) for b, w in zip(neighbours, degrees)]
+        g.entry, g.entry_level, g._seen = int(entry), int(entry_level), np.zeros((0, 0), bool)
+        return g
+
     def search(self, q: np.ndarray, k: int, ef: int = 64) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and similarities of the ``k`` best found for each row of ``q``, best first; -1 fills up."""
         q = np.ascontiguousarray(q, np.float32)

@@ -1,8 +1,9 @@
 """Problem 5: the most similar vectors of every vector, by small-world graphs per shard.
 
 Vectors are dealt to shards by the nearest of some centroids (fitted on a bounded sample), so that a vector needs
-to be searched in a few shards only; each shard holds a hierarchical navigable small-world graph in flat neighbour
-arrays; the results of a vector's shards are merged. Equal vectors are indexed once and expanded afterwards.
+to be searched in a few shards only; each shard's hierarchical navigable small-world graph is stored as flat neighbour
+arrays, a row a shard, and searched by blocks of visitors; the results of a vector's shards are merged. Equal vectors are indexed
+once and expanded afterwards.
 """
 
 from __future__ import annotations
@@ -77,24 +78,20 @@ def _nearest(s: np.ndarray, w: int) -> np.ndarray:
     return np.take_along_axis(top, np.argsort(-np.take_along_axis(s, top, 1), axis=1, kind="stable"), 1)
 
 
-def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 128, ef: int = 64, probes: int = PROBES, shard: int = SHARD) -> DataFrame:
-    """``(kind, id, other, rank, similarity)``: the ``k`` most similar other ids of the same kind for every id with a
-    usable vector (see :func:`usable_vectors`); ties go to the smaller id. An id alone in its kind has no row.
+GRAPH = "kind string, cluster int, shard long, names array<string>, vectors binary, neighbours array<binary>, degrees array<int>, entry int, entry_level int"
 
-    Approximate: of the true neighbours at least 0.95 are found on the test tables (see the README). Equal vectors
-    aren't lost: they share one place in the graph and are expanded from it, ``k`` + 1 of a group at most, which is
-    all that a list of ``k`` can hold."""
-    tmp = Scratch(spark, "p5")
-    vectors = tmp.cut(usable_vectors(store, dim))
-    members = tmp.cut(vectors.select("kind", "id", F.xxhash64("vec").alias("h"), F.md5("vec").alias("m")))
-    reps = vectors.groupBy("kind", F.md5("vec").alias("m")).agg(F.min("vec").alias("vec"))
-    reps = tmp.cut(reps)
+
+def build_graphs(spark: SparkSession, reps: DataFrame, dim: int, probes: int, shard: int, tmp: Scratch) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(graphs, routed, plan)`` of ``reps(kind, m, vec)``: a row for each shard with its graph as flat arrays (GRAPH), a row for
+    each vector and cluster that it is searched in (its own first), and for each cluster its shards and blocks of visitors.
+
+    The graphs are written once, whatever the number of blocks that visit them."""
     sizes = {r["kind"]: r["n"] for r in reps.groupBy("kind").agg(F.count("*").alias("n")).collect()}  # one row a kind
-    centroids = {}
+    centroids, wide = {}, {}
     for kind, n in sorted(sizes.items()):
         sample = reps.where(F.col("kind") == kind).select("vec", "m").orderBy("m").limit(SAMPLE).collect()  # bounded: SAMPLE vectors
         parts = min(CENTROIDS, -(-n // shard), max(1, len(sample) // 8))
-        shard = max(shard, min(WIDEST, n // parts))
+        wide[kind] = max(shard, min(WIDEST, n // parts))
         centroids[kind] = fit_centroids(_rows([r["vec"] for r in sample], dim), parts)
     fitted = spark.sparkContext.broadcast(centroids)  # CENTROIDS vectors a kind at most
 
@@ -110,29 +107,61 @@ def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 1
     routed = tmp.cut(reps.mapInPandas(route, "kind string, m string, vec binary, cluster int, own boolean"))
     # clusters by size: how many shards hold their vectors, and how many blocks of visitors each shard gets
     counts = routed.groupBy("kind", "cluster").agg(F.count_if("own").alias("n"), F.count("*").alias("all"))
-    plan = counts.select("kind", "cluster", F.greatest(F.lit(1), F.ceil(F.col("n") / (2 * shard))).alias("shards"), F.greatest(F.lit(1), F.ceil(F.col("all") / (8 * shard))).alias("blocks"))
-    plan = tmp.cut(plan)
+    width = F.create_map(*(F.lit(x) for kind, n in sorted(wide.items()) for x in (kind, n)))[F.col("kind")] if wide else F.lit(shard)
+    plan = tmp.cut(counts.select("kind", "cluster", F.ceil(F.col("n") / (2 * width)).alias("shards"), F.greatest(F.lit(1), F.ceil(F.col("all") / (8 * width))).alias("blocks")))
+    stored = routed.where("own").join(plan, ["kind", "cluster"]).select("kind", "cluster", F.pmod(F.xxhash64("m"), F.col("shards")).alias("shard"), "m", "vec")
+    shards = plan.agg(F.sum("shards")).first()[0] or 1
+    # building is much work on few bytes: a partition for each shard, which is not to be merged by its size
+    stored = stored.repartition(int(min(shards, 20_000)), "kind", "cluster", "shard")
+
+    def build(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("m")
+        graph = Hnsw(_rows(pdf["vec"], dim)).to_bytes()
+        return pd.DataFrame([{"kind": key[0], "cluster": key[1], "shard": key[2], "names": list(pdf["m"])} | graph])
+
+    graphs = tmp.cut(stored.groupBy("kind", "cluster", "shard").applyInPandas(build, GRAPH))
+    return graphs, routed, plan
+
+
+def search_graphs(graphs: DataFrame, routed: DataFrame, plan: DataFrame, k: int, dim: int, ef: int) -> DataFrame:
+    """``(kind, m, other, similarity)``: the ``k`` + 1 best of each visited shard for each vector, itself left out; visitors come
+    in blocks, each of which reads the stored graph."""
+    longs = lambda n: F.sequence(F.lit(0).cast("long"), F.col(n).cast("long") - 1)
+    asked = routed.join(plan.where("shards > 0"), ["kind", "cluster"])
+    asked = asked.select("kind", "cluster", F.explode(longs("shards")).alias("shard"), F.pmod(F.xxhash64("m", F.lit(1)), F.col("blocks")).alias("block"), "m", "vec")
+    held = graphs.join(plan.select("kind", "cluster", "blocks"), ["kind", "cluster"]).withColumn("block", F.explode(longs("blocks"))).drop("blocks")
+    on = ["kind", "cluster", "shard", "block"]
     tasks = plan.agg(F.sum(F.col("shards") * F.col("blocks"))).first()[0] or 1
-    planned = routed.join(plan, ["kind", "cluster"])
-    h = F.xxhash64("m")
-    stored = planned.where("own").withColumn("shard", F.pmod(h, F.col("shards"))).withColumn("block", F.explode(F.sequence(F.lit(0), (F.col("blocks") - 1).cast("long")))).withColumn("stored", F.lit(True))
-    asked = planned.withColumn("block", F.pmod(F.xxhash64("m", F.lit(1)), F.col("blocks"))).withColumn("shard", F.explode(F.sequence(F.lit(0), (F.col("shards") - 1).cast("long")))).withColumn("stored", F.lit(False))
-    cols = ["kind", "cluster", "shard", "block", "stored", "m", "vec"]
-    both = stored.select(*cols).unionByName(asked.select(*cols))
-    # a search is much work on few bytes: a partition for each shard, which is not to be merged by its size
-    both = both.repartition(int(min(tasks, 20_000)), "kind", "cluster", "shard", "block")
-
-    def search(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        held = pdf[pdf["stored"]].sort_values("m")
-        ask = pdf[~pdf["stored"]]
-        graph = Hnsw(_rows(held["vec"], dim)) if len(held) else Hnsw(np.zeros((0, dim), np.float32))
-        names = held["m"].values
-        ids, sims = graph.search(_rows(ask["vec"], dim), k + 1, ef) if len(ask) else (np.zeros((0, k + 1), int), np.zeros((0, k + 1)))
+    tasks = int(min(tasks, 20_000))
+    asked = asked.repartition(tasks, *on)
+    held = held.select(*(F.col(c).alias(f"graph_{c}") for c in held.columns)).repartition(tasks, *(f"graph_{c}" for c in on))
+
+    def search(key: tuple, ask: pd.DataFrame, graph: pd.DataFrame) -> pd.DataFrame:
+        if not len(ask) or not len(graph):
+            return pd.DataFrame({"kind": [], "m": [], "other": [], "similarity": []})
+        g = graph.iloc[0]
+        names = np.asarray(g["graph_names"], object)
+        ids, sims = Hnsw.from_bytes(dim, *(g[f"graph_{c}"] for c in ("vectors", "neighbours", "degrees", "entry", "entry_level"))).search(_rows(ask["vec"], dim), k + 1, ef)
         r, c = np.nonzero(ids >= 0)
-        out = pd.DataFrame({"kind": key[0], "m": ask["m"].values[r], "other": names[ids[r, c]] if len(names) else [], "similarity": sims[r, c].astype(np.float64)})
+        out = pd.DataFrame({"kind": key[0], "m": ask["m"].values[r], "other": names[ids[r, c]], "similarity": sims[r, c].astype(np.float64)})
         return out[out["m"] != out["other"]]
 
-    found = both.groupBy("kind", "cluster", "shard", "block").applyInPandas(search, "kind string, m string, other string, similarity double")
+    return asked.groupBy(*on).cogroup(held.groupBy(*(f"graph_{c}" for c in on))).applyInPandas(search, "kind string, m string, other string, similarity double")
+
+
+def most_similar(spark: SparkSession, store: DataFrame, k: int = 5, dim: int = 128, ef: int = 64, probes: int = PROBES, shard: int = SHARD) -> DataFrame:
+    """``(kind, id, other, rank, similarity)``: the ``k`` most similar other ids of the same kind for every id with a
+    usable vector (see :func:`usable_vectors`); ties go to the smaller id. An id alone in its kind has no row.
+
+    Approximate: of the true neighbours at least 0.95 are found on the test tables (see the README). Equal vectors
+    aren't lost: they share one place in the graph and are expanded from it, ``k`` + 1 of a group at most, which is
+    all that a list of ``k`` can hold."""
+    tmp = Scratch(spark, "p5")
+    vectors = tmp.cut(usable_vectors(store, dim))
+    members = tmp.cut(vectors.select("kind", "id", F.md5("vec").alias("m")))
+    reps = tmp.cut(vectors.groupBy("kind", F.md5("vec").alias("m")).agg(F.min("vec").alias("vec")))
+    graphs, routed, plan = build_graphs(spark, reps, dim, probes, shard, tmp)
+    found = search_graphs(graphs, routed, plan, k, dim, ef)
     best = found.withColumn("r", F.row_number().over(W.partitionBy("kind", "m").orderBy(F.desc("similarity"), "other"))).where(F.col("r") <= k).drop("r")
     best = tmp.cut(best)
 

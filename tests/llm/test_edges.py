@@ -275,6 +275,30 @@ def test_neighbour_recall_over_many_shards(spark):
     assert total > 500 and hit / total >= 0.95
 
 
+def test_a_large_kind_leaves_the_shards_of_the_others(spark, monkeypatch):
+    """The width of shards is each kind's own, and stored graphs hold every vector once."""
+    from millrace.session import Scratch
+
+    monkeypatch.setattr(neighbours, "CENTROIDS", 4)
+    rng = np.random.default_rng(2)
+    df = vectors(spark, [(f"a{i}", "a", rng.normal(size=8).tolist(), 0) for i in range(1500)] + [(f"b{i}", "b", rng.normal(size=8).tolist(), 0) for i in range(150)])
+    reps = neighbours.usable_vectors(df, 8).select("kind", F.md5("vec").alias("m"), "vec")
+    graphs, _, plan = neighbours.build_graphs(spark, reps, 8, 2, 40, Scratch(spark, "test"))
+    held = graphs.select("kind", F.size("names").alias("n"), F.octet_length("vectors").alias("bytes")).collect()
+    assert all(r["bytes"] == r["n"] * 32 for r in held)
+    assert sum(r["n"] for r in held if r["kind"] == "a") == 1500 and sum(r["n"] for r in held if r["kind"] == "b") == 150
+    assert max(r["n"] for r in held if r["kind"] == "b") <= 80
+
+
+def test_a_stored_graph_gives_the_same_neighbours():
+    x = np.random.default_rng(1).normal(size=(700, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    g = Hnsw(x)
+    s = g.to_bytes()
+    again = Hnsw.from_bytes(16, s["vectors"], s["neighbours"], s["degrees"], s["entry"], s["entry_level"])
+    assert (again.search(x[:50], 6)[0] == g.search(x[:50], 6)[0]).all()
+
+
 def test_graph_of_few_vectors():
     assert Hnsw(np.zeros((0, 4), np.float32)).search(np.zeros((2, 4), np.float32), 3)[0].tolist() == [[-1] * 3] * 2
     one = Hnsw(np.eye(4, dtype=np.float32)[:1])
