@@ -3,7 +3,8 @@
 A positional inverted index of the corpus (term, document, positions) is restricted to terms that test items
 hold. Each window of consecutive item words is looked up by its two rarest terms: their posting lists, each
 shifted by the term's offset in the item, are intersected, which leaves few candidates; for these all postings
-are compared at the same shift, and runs of consecutive words give the exact phrases.
+are compared at the same shift, and runs of consecutive words give the exact phrases. Proximity matches come from
+the lists of some more rare terms, intersected within a slop.
 """
 
 from __future__ import annotations
@@ -67,35 +68,51 @@ def postings(texts: DataFrame, id_col: str, text_col: str = "text", only=None) -
     return rows.mapInArrow(emit, f"id {dict(rows.dtypes)['id']}, term bigint, pos int")
 
 
-def leaked_passages(spark: SparkSession, documents: DataFrame, items: DataFrame, window: int = 12, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, item_id, doc_from, item_from, run, item_words, matched)``: for each document and item of which the
-    document holds ``window`` consecutive words without gap (or the whole item if it is shorter), the longest such
-    run: where it begins in both, its length, the item's length, and the words that agree at that shift in all
-    (the proximity: equal to ``run`` if nothing agrees beyond the run).
-
-    Character form and case are set aside. Null or empty texts, and items without words, match nothing. Repeated
-    item or document ids are read as one text after the other only if their texts differ; equal rows count once."""
-    tmp = Scratch(spark, "p6")
-    items = items.select(item_id, text_col).distinct()
-    words = tmp.cut(postings(items, item_id, text_col).withColumnRenamed("id", "item").distinct())
-    vocabulary = words.select("term").distinct()
-    few = vocabulary.count() <= MOST_TERMS
-    only = None
-    if few:
-        only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in vocabulary.collect()], np.int64)))
-    index = postings(documents, doc_id, text_col, only)
-    if not few:
-        index = index.join(vocabulary, "term", "left_semi")
-    index = tmp.cut(index.select("term", "id", "pos"))
-
+def store_index(documents: DataFrame, path: str, doc_id: str = "doc_id", text_col: str = "text", buckets: int = 256) -> DataFrame:
+    """Write the positional index of all words of ``documents`` to ``path``, in folders of hashed terms and sorted by term, and
+    return it: looking up some terms reads their row groups only. :func:`leaked_passages` takes it as ``index``."""
+    rows = postings(documents, doc_id, text_col).withColumn("bucket", F.pmod("term", F.lit(buckets)).cast("int"))
+    # a term with a tenth of all words is dealt to several files by document
+    rows.repartition(F.col("bucket"), F.pmod(F.xxhash64("id"), F.lit(8))).sortWithinPartitions("bucket", "term", "id").write.partitionBy("bucket").option("compression", "zstd").parquet(path)
+    return documents.sparkSession.read.parquet(path)
+
+
+class _Lookup:
+    """What a search needs of both sides: ``words(item, term, pos)``, ``index(term, id, pos)`` restricted to the items' terms, and
+    ``known``: the words with their number of postings in the corpus."""
+
+    def __init__(self, spark: SparkSession, documents: DataFrame | None, items: DataFrame, doc_id: str, item_id: str, text_col: str, index: DataFrame | None):
+        self.tmp = tmp = Scratch(spark, "p6")
+        items = items.select(item_id, text_col).distinct()
+        self.words = tmp.cut(postings(items, item_id, text_col).withColumnRenamed("id", "item").distinct())
+        vocabulary = self.words.select("term").distinct()
+        few = vocabulary.count() <= MOST_TERMS
+        if index is None:
+            only = None
+            if few:
+                only = spark.sparkContext.broadcast(np.sort(np.array([r[0] for r in vocabulary.collect()], np.int64)))
+            index = postings(documents, doc_id, text_col, only)
+        elif few:
+            index = index.join(F.broadcast(vocabulary), "term", "left_semi")
+        if not few:
+            index = index.join(vocabulary, "term", "left_semi")
+        self.index = tmp.cut(index.select("term", "id", "pos"))
+        df = small(tmp.cut(self.index.groupBy("term").agg(F.count("*").alias("df"))), MOST_TERMS)
+        known = self.words.withColumnRenamed("pos", "off").join(df, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
+        self.known = known.withColumn("n", F.count("*").over(W.partitionBy("item")))
+
+    def windows(self, window: int) -> DataFrame:
+        """``(item, n, w)``: of each ``window`` consecutive words (all, if there are fewer) their structs of df, term and offset,
+        the rarest first."""
+        by = W.partitionBy("item").orderBy("off")
+        ranked = F.sort_array(F.collect_list(F.struct("df", "term", "off")).over(by.rowsBetween(0, window - 1)))
+        return self.known.withColumn("w", ranked).where(f"size(w) = least({window}, n)").select("item", "n", "w")
+
+
+def _exact(x: _Lookup, window: int) -> DataFrame:
+    tmp, index, words = x.tmp, x.index, x.words
     # the two rarest terms of each window; windows that share both, and their shift, are looked up once
-    df = small(tmp.cut(index.groupBy("term").agg(F.count("*").alias("df"))), MOST_TERMS)
-    by = W.partitionBy("item").orderBy("off")
-    known = words.withColumnRenamed("pos", "off").join(df, "term", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    known = known.withColumn("n", F.count("*").over(W.partitionBy("item")))
-    ranked = F.sort_array(F.collect_list(F.struct("df", "term", "off")).over(by.rowsBetween(0, window - 1)))
-    windows = known.withColumn("w", ranked).where(f"size(w) = least({window}, n)")
-    windows = windows.select("item", "n", F.col("w")[0].alias("a"), F.col("w")[F.when(F.size("w") > 1, 1).otherwise(0)].alias("b"))
+    windows = x.windows(window).select("item", "n", F.col("w")[0].alias("a"), F.col("w")[F.when(F.size("w") > 1, 1).otherwise(0)].alias("b"))
     anchors = windows.where("a.df > 0 and b.df > 0").select("item", "n", F.col("a.term").alias("term"), F.col("a.off").alias("off_a"), F.col("b.term").alias("term_b"), F.col("b.off").alias("off_b")).distinct()
     anchors = small(tmp.cut(anchors), MOST_TERMS)
     first = index.join(anchors, "term").select("id", "item", "n", (F.col("pos") - F.col("off_a")).alias("shift"), F.col("term_b").alias("term"), (F.col("pos") - F.col("off_a") + F.col("off_b")).alias("pos"))
@@ -111,8 +128,61 @@ def leaked_passages(spark: SparkSession, documents: DataFrame, items: DataFrame,
     agree = agree.withColumn("island", F.col("off") - F.row_number().over(shift.orderBy("off")))
     runs = agree.groupBy("id", "item", "n", "shift", "matched", "island").agg(F.count("*").alias("run"), F.min("off").alias("item_from")).where(f"run >= least({window}, n)")
     best = runs.groupBy("id", "item", "n").agg(F.max(F.struct("run", "matched", (-F.col("item_from")).alias("from"), (-F.col("shift")).alias("by"))).alias("m"))
-    best = best.select(
+    return best.select(
         F.col("id").alias("doc_id"), F.col("item").alias("item_id"), (-F.col("m.from") - F.col("m.by")).cast("int").alias("doc_from"), (-F.col("m.from")).cast("int").alias("item_from"),
         F.col("m.run").alias("run"), F.col("n").alias("item_words"), F.col("m.matched").alias("matched"),
     )
-    return best
+
+
+def _near(x: _Lookup, window: int, share: float, slop: int) -> DataFrame:
+    tmp, index = x.tmp, x.index
+    size = F.least(F.lit(window), F.col("n"))
+    need = F.ceil(F.round(size * F.lit(share), 6))
+    # of the words of a window so many may lack; of one more than these and one, two are there
+    spare = size - need + 2
+    w = x.windows(window).where("n > 1").withColumn("w", F.expr("transform(w, (x, i) -> struct(i, x.term as term, x.off as off, x.df as df))")).withColumn("w", F.slice("w", 1, spare.cast("int")))
+    two = w.select("item", "n", "w", F.explode("w").alias("a")).select("item", "n", "a", F.explode("w").alias("b")).where("a.i < b.i and a.df > 0 and b.df > 0")
+    anchors = two.select("item", "n", F.col("a.term").alias("term"), F.col("a.off").alias("off_a"), F.col("b.term").alias("term_b"), F.col("b.off").alias("off_b")).distinct()
+    anchors = small(tmp.cut(anchors), MOST_TERMS)
+    wide = 2 * slop + 1  # what may be asked for lies in two cells of this width at most
+    at = (F.col("pos") - F.col("off_a") + F.col("off_b")).alias("at")
+    first = index.join(anchors, "term").select("id", "item", "n", (F.col("pos") - F.col("off_a")).alias("shift"), F.col("term_b").alias("term"), at)
+    first = first.withColumn("cell", F.explode(F.array_distinct(F.array(F.floor((F.col("at") - slop) / wide), F.floor((F.col("at") + slop) / wide)))))
+    second = index.join(small(anchors.select(F.col("term_b").alias("term")).distinct(), MOST_TERMS), "term", "left_semi").withColumn("cell", F.floor(F.col("pos") / wide))
+    candidates = first.join(second, ["term", "id", "cell"]).where(f"abs(pos - at) <= {slop}").select("id", "item", "n", "shift").distinct()
+    candidates = tmp.cut(candidates)
+
+    # the words that occur within the slop of a candidate's shift
+    of_docs = index.join(small(candidates.select("id").distinct(), MOST_TERMS), "id", "left_semi")
+    asked = candidates.join(x.words.select("item", "term", F.col("pos").alias("off")), "item")
+    asked = asked.withColumn("pos", F.explode(F.sequence(F.col("shift") + F.col("off") - slop, F.col("shift") + F.col("off") + slop)))
+    agree = asked.join(of_docs, ["id", "term", "pos"]).groupBy("id", "item", "n", "shift", "off").agg(F.min("pos").alias("pos"))
+    ahead = W.partitionBy("id", "item", "shift").orderBy("off").rangeBetween(0, window - 1)
+    agree = agree.withColumn("run", F.count("*").over(ahead)).withColumn("matched", F.count("*").over(W.partitionBy("id", "item", "shift")))
+    best = agree.where(F.col("run") >= need).groupBy("id", "item", "n").agg(F.max(F.struct("run", "matched", (-F.col("off")).alias("from"), (-F.col("pos")).alias("by"))).alias("m"))
+    return best.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), (-F.col("m.by")).cast("int").alias("doc_from"), (-F.col("m.from")).cast("int").alias("item_from"), F.col("m.run").alias("run"), F.col("n").alias("item_words"), F.col("m.matched").alias("matched"))
+
+
+def leaked_passages(spark: SparkSession, documents: DataFrame | None, items: DataFrame, window: int = 12, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", index: DataFrame | None = None) -> DataFrame:
+    """``(doc_id, item_id, doc_from, item_from, run, item_words, matched)``: for each document and item of which the
+    document holds ``window`` consecutive words without gap (or the whole item if it is shorter), the longest such
+    run: where it begins in both, its length, the item's length, and the words that agree at that shift in all.
+
+    Character form and case are set aside. Null or empty texts, and items without words, match nothing. Repeated
+    item or document ids are read as one text after the other only if their texts differ; equal rows count once. With an
+    ``index`` of :func:`store_index` the documents aren't read."""
+    return _exact(_Lookup(spark, documents, items, doc_id, item_id, text_col, index), window)
+
+
+def passages(spark: SparkSession, documents: DataFrame | None, items: DataFrame, window: int = 12, share: float = 0.8, slop: int = 3, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", index: DataFrame | None = None) -> DataFrame:
+    """The rows of :func:`leaked_passages` with ``match`` = ``exact``, and those with ``match`` = ``proximity``: of some
+    ``window`` consecutive words of the item (of all, if there are fewer) at least ``share`` occur in the document, each at most
+    ``slop`` positions off the place that one of the window's rarest words gives it; so words may be inserted, dropped, changed
+    or swapped. ``run`` is then the number of these words, ``matched`` that of all words of the item within the slop.
+
+    A document and item with an exact match have that row only. An item of one word has no proximity. Where several places
+    of a document match, the one with most words counts (ties: the earliest of the item, then of the document)."""
+    x = _Lookup(spark, documents, items, doc_id, item_id, text_col, index)
+    exact = x.tmp.cut(_exact(x, window))
+    near = _near(x, window, share, slop).join(exact, ["doc_id", "item_id"], "left_anti")
+    return exact.withColumn("match", F.lit("exact")).unionByName(near.withColumn("match", F.lit("proximity")))

@@ -56,7 +56,7 @@ def p6_found(spark, d):
 
 
 def p6_passages(spark, d):
-    return leaks.leaked_passages(spark, _t(spark, d, "documents"), _t(spark, d, "heldout_items"))
+    return leaks.passages(spark, _t(spark, d, "documents"), _t(spark, d, "heldout_items"))
 
 
 def p7_found(spark, d):

@@ -322,6 +322,30 @@ def test_leak_edges(spark):
     assert leaks.leaked_passages(spark, df, items.limit(0)).count() == 0
 
 
+def test_proximity(spark):
+    words = [f"w{i}" for i in range(20)]
+    items = spark.createDataFrame([(1, " ".join(words)), (2, "red fox ran far away"), (3, "solo"), (4, None)], "item_id long, text string")
+    insert = words[:6] + ["x"] + words[6:12] + ["y", "z"] + words[12:]
+    docs = [
+        (1, " ".join(insert)), (2, " ".join(w for i, w in enumerate(words) if i % 6 != 3)), (3, " ".join(w for i, w in enumerate(words) if i % 3)), (4, "a RED fox, ran away far b"),
+        (5, "red fox ran a b c d e far away"), (6, " ".join(words[:13])), (7, "solo"), (8, None), (9, ""), (10, "q " * 1000 + "red fox x ran far away " + "q " * 1000), (11, "fox ran far " + "w0 " * 50),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["match"], r["run"], r["doc_from"]) for r in leaks.passages(spark, df, items).collect()}
+    assert got == {(1, 1): ("proximity", 12, 0), (2, 1): ("proximity", 10, 0), (4, 2): ("proximity", 5, 1), (6, 1): ("exact", 13, 0), (7, 3): ("exact", 1, 0), (10, 2): ("proximity", 5, 1000)}
+    assert leaks.passages(spark, df.limit(0), items).count() == 0 and leaks.passages(spark, df, items.limit(0)).count() == 0
+
+
+def test_a_stored_index_serves_many_searches(spark, tmp_path):
+    docs = spark.createDataFrame([(i, " ".join(f"t{(i * 7 + j) % 90}" for j in range(60))) for i in range(40)] + [(99, None)], "doc_id long, text string")
+    index = leaks.store_index(docs, f"{tmp_path}/index", buckets=4)
+    assert index.count() == 2400
+    for at in (5, 30):
+        items = spark.createDataFrame([(1, " ".join(f"t{j % 90}" for j in range(at, at + 15)))], "item_id long, text string")
+        want = rows(leaks.leaked_passages(spark, docs, items))
+        assert rows(leaks.leaked_passages(spark, None, items, index=index)) == want and want
+
+
 def test_a_passage_in_a_third_of_all_documents(spark):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.concat(F.lit("so "), F.lit(item), F.lit(" it is"))).otherwise(F.concat(F.lit("filler "), F.col("id").cast("string"))).alias("text"))
