@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -134,33 +135,70 @@ def _exact(x: _Lookup, window: int) -> DataFrame:
     )
 
 
+def near_rows(window: int, share: float, slop: int):
+    """Of rows ``id, item, n, centres, offs, terms, at`` (the item's words, and the document's as structs of term and position) the
+    best proximity match around one of the centres, if it has enough words."""
+
+    def f(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, out = [], []
+            numbers = [b.column(2).to_pylist(), *(_arrays(b.column(i)) for i in (3, 4, 5)), *(_arrays(c) for c in _fields(b.column(6)))]
+            for i, (n, centres, offs, terms, doc_terms, doc_at) in enumerate(zip(*numbers)):
+                need = int(np.ceil(round(min(window, n) * share, 6)))
+                order = np.argsort(doc_terms, kind="stable")
+                lo, hi = np.searchsorted(doc_terms[order], terms), np.searchsorted(doc_terms[order], terms, "right")
+                k = np.repeat(np.arange(len(terms)), hi - lo)
+                pos = doc_at[order[np.arange(len(k)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[k]]]
+                off = offs[k]
+                best = None
+                for c in centres:
+                    ok = np.abs(pos - off - c) <= slop
+                    first = np.full(n, np.iinfo(np.int64).max)
+                    np.minimum.at(first, off[ok], pos[ok])
+                    there = np.nonzero(first < np.iinfo(np.int64).max)[0]
+                    runs = np.searchsorted(there, there + window) - np.arange(len(there))
+                    if len(runs) and runs.max() >= need:
+                        o = int(there[runs.argmax()])
+                        got = (int(runs.max()), len(there), -o, -int(first[o]))
+                        best = got if best is None else max(best, got)
+                if best:
+                    rows.append(i)
+                    out.append((-best[3], -best[2], best[0], n, best[1]))
+            take = pa.array(rows, pa.int64())
+            cols = [pa.array([x[j] for x in out], pa.int32() if j in (0, 1) else pa.int64()) for j in range(5)]
+            yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take), *cols], ["doc_id", "item_id", "doc_from", "item_from", "run", "item_words", "matched"])
+
+    return f
+
+
+def _arrays(lists) -> list[np.ndarray]:
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    return np.split(flat, ends[:-1]) if len(ends) else []
+
+
+def _fields(structs) -> list:
+    """The two fields of a list of structs as lists of numbers."""
+    return [pa.ListArray.from_arrays(pc.subtract(structs.offsets, structs.offsets[0]), structs.flatten().field(i)) for i in (0, 1)]
+
+
 def _near(x: _Lookup, window: int, share: float, slop: int) -> DataFrame:
     tmp, index = x.tmp, x.index
     size = F.least(F.lit(window), F.col("n"))
     need = F.ceil(F.round(size * F.lit(share), 6))
-    # of the words of a window so many may lack; of one more than these and one, two are there
-    spare = size - need + 2
-    w = x.windows(window).where("n > 1").withColumn("w", F.expr("transform(w, (x, i) -> struct(i, x.term as term, x.off as off, x.df as df))")).withColumn("w", F.slice("w", 1, spare.cast("int")))
-    two = w.select("item", "n", "w", F.explode("w").alias("a")).select("item", "n", "a", F.explode("w").alias("b")).where("a.i < b.i and a.df > 0 and b.df > 0")
-    anchors = two.select("item", "n", F.col("a.term").alias("term"), F.col("a.off").alias("off_a"), F.col("b.term").alias("term_b"), F.col("b.off").alias("off_b")).distinct()
-    anchors = small(tmp.cut(anchors), MOST_TERMS)
-    wide = 2 * slop + 1  # what may be asked for lies in two cells of this width at most
-    at = (F.col("pos") - F.col("off_a") + F.col("off_b")).alias("at")
-    first = index.join(anchors, "term").select("id", "item", "n", (F.col("pos") - F.col("off_a")).alias("shift"), F.col("term_b").alias("term"), at)
-    first = first.withColumn("cell", F.explode(F.array_distinct(F.array(F.floor((F.col("at") - slop) / wide), F.floor((F.col("at") + slop) / wide)))))
-    second = index.join(small(anchors.select(F.col("term_b").alias("term")).distinct(), MOST_TERMS), "term", "left_semi").withColumn("cell", F.floor(F.col("pos") / wide))
-    candidates = first.join(second, ["term", "id", "cell"]).where(f"abs(pos - at) <= {slop}").select("id", "item", "n", "shift").distinct()
-    candidates = tmp.cut(candidates)
-
-    # the words that occur within the slop of a candidate's shift
-    of_docs = index.join(small(candidates.select("id").distinct(), MOST_TERMS), "id", "left_semi")
-    asked = candidates.join(x.words.select("item", "term", F.col("pos").alias("off")), "item")
-    asked = asked.withColumn("pos", F.explode(F.sequence(F.col("shift") + F.col("off") - slop, F.col("shift") + F.col("off") + slop)))
-    agree = asked.join(of_docs, ["id", "term", "pos"]).groupBy("id", "item", "n", "shift", "off").agg(F.min("pos").alias("pos"))
-    ahead = W.partitionBy("id", "item", "shift").orderBy("off").rangeBetween(0, window - 1)
-    agree = agree.withColumn("run", F.count("*").over(ahead)).withColumn("matched", F.count("*").over(W.partitionBy("id", "item", "shift")))
-    best = agree.where(F.col("run") >= need).groupBy("id", "item", "n").agg(F.max(F.struct("run", "matched", (-F.col("off")).alias("from"), (-F.col("pos")).alias("by"))).alias("m"))
-    return best.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), (-F.col("m.by")).cast("int").alias("doc_from"), (-F.col("m.from")).cast("int").alias("item_from"), F.col("m.run").alias("run"), F.col("n").alias("item_words"), F.col("m.matched").alias("matched"))
+    # size - need words of a window may lack: of two more than these two are there, the rarest are taken
+    rare = x.windows(window).where("n > 1").select("item", "n", F.explode(F.slice("w", 1, (size - need + 2).cast("int"))).alias("a"))
+    rare = rare.where("a.df > 0").select("item", "n", F.col("a.term").alias("term"), F.col("a.off").alias("off")).distinct()
+    found = index.join(small(tmp.cut(rare), MOST_TERMS), "term").select("id", "item", "n", "off", (F.col("pos") - F.col("off")).alias("shift"))
+    around = W.partitionBy("id", "item").orderBy("shift").rangeBetween(-slop, slop)
+    found = found.withColumn("lo", F.min("off").over(around)).withColumn("hi", F.max("off").over(around)).where("lo < hi")
+    candidates = tmp.cut(found.groupBy("id", "item", "n").agg(F.sort_array(F.collect_set("shift")).alias("centres")))
+
+    texts = x.words.groupBy("item").agg(F.sort_array(F.collect_list(F.struct(F.col("pos").alias("off"), "term"))).alias("w"))
+    texts = texts.select("item", F.col("w.off").alias("offs"), F.col("w.term").alias("terms"))
+    docs = index.join(small(candidates.select("id").distinct(), MOST_TERMS), "id", "left_semi").groupBy("id").agg(F.collect_list(F.struct("term", "pos")).alias("at"))  # as long as the document
+    both = candidates.join(texts, "item").join(docs, "id").select("id", "item", "n", "centres", "offs", "terms", "at")
+    kinds = dict(both.dtypes)
+    return both.mapInArrow(near_rows(window, share, slop), f"doc_id {kinds['id']}, item_id {kinds['item']}, doc_from int, item_from int, run long, item_words long, matched long")
 
 
 def leaked_passages(spark: SparkSession, documents: DataFrame | None, items: DataFrame, window: int = 12, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", index: DataFrame | None = None) -> DataFrame:
@@ -177,8 +215,8 @@ def leaked_passages(spark: SparkSession, documents: DataFrame | None, items: Dat
 def passages(spark: SparkSession, documents: DataFrame | None, items: DataFrame, window: int = 12, share: float = 0.8, slop: int = 3, doc_id: str = "doc_id", item_id: str = "item_id", text_col: str = "text", index: DataFrame | None = None) -> DataFrame:
     """The rows of :func:`leaked_passages` with ``match`` = ``exact``, and those with ``match`` = ``proximity``: of some
     ``window`` consecutive words of the item (of all, if there are fewer) at least ``share`` occur in the document, each at most
-    ``slop`` positions off the place that one of the window's rarest words gives it; so words may be inserted, dropped, changed
-    or swapped. ``run`` is then the number of these words, ``matched`` that of all words of the item within the slop.
+    ``slop`` positions off the place that one of the item's rare words gives it, where a second one is within the slop (rare: among
+    the rarest of a window, so many that two must be there); so words may be inserted, dropped, changed or swapped. ``run`` is then the number of these words, ``matched`` that of all words of the item within the slop.
 
     A document and item with an exact match have that row only. An item of one word has no proximity. Where several places
     of a document match, the one with most words counts (ties: the earliest of the item, then of the document)."""

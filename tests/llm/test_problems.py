@@ -249,7 +249,7 @@ def test_p6(spark, sf, sf01):
 
 
 def test_p6_passages(spark, sf):
-    """Exact and proximity matches by brute force, over the places that two of the rarest words of a window give."""
+    """Exact and proximity matches by brute force, over the places where two rare words meet."""
     import xxhash
 
     docs = {r["doc_id"]: charform.words(r["text"]) for r in rows(sf, "documents")}
@@ -265,12 +265,12 @@ def test_p6_passages(spark, sf):
     for j, item in items.items():
         n = min(12, len(item))
         need = -(-8 * n // 10)
-        pairs = set()
+        rare = set()
         for o in range(len(item) - n + 1):
-            rare = sorted((df[w], xxhash.xxh64_intdigest(w) - (1 << 63), o + k) for k, w in enumerate(item[o : o + n]))[: n - need + 2]
-            pairs |= {(x[2], y[2]) for k, x in enumerate(rare) for y in rare[k + 1 :] if x[0] and y[0]}
+            rare |= {o_ for d, _, o_ in sorted((df[w], xxhash.xxh64_intdigest(w) - (1 << 63), o + k) for k, w in enumerate(item[o : o + n]))[: n - need + 2] if d}
         for i, at in places.items():
-            shifts = {p - a for a, b in pairs for p in at.get(item[a], ()) for r in at.get(item[b], ()) if abs((r - b) - (p - a)) <= 3}
+            spots = [(p - a, a) for a in rare for p in at.get(item[a], ())]
+            shifts = {s for s, a in spots if any(a != b and abs(s - r) <= 3 for r, b in spots)}
             best = 0
             for s in shifts:
                 hit = [any(abs(p - o - s) <= 3 for p in at.get(w, ())) for o, w in enumerate(item)]
