@@ -94,3 +94,18 @@ def coalesce_columns(available: list[str], *names: str) -> Column:
     """The first of ``names`` that exists, resolved when the plan is made; null if none does."""
     there = [F.col(n) for n in names if n in available]
     return reduce(lambda a, b: F.coalesce(a, b), there) if there else F.lit(None)
+
+
+def with_ordinal(df, *order: str, out: str = "ordinal"):
+    """``df`` in the given order with its 0-based place, without a window over everything: rows are sorted in ranges, written, and
+    offset by the counts of the ranges before. Equal rows get places of their own."""
+    from pyspark.sql import Window as W
+
+    from ..session import Scratch
+
+    tmp = Scratch(df.sparkSession, "ordinal")
+    rows = tmp.cut(df.sort(*order).withColumn("_m", F.monotonically_increasing_id()))
+    rows = rows.withColumn("_p", F.shiftright("_m", 33))
+    n = rows.groupBy("_p").agg(F.count("*").alias("_k"))  # a row for each range
+    n = n.select("_p", F.coalesce(F.sum("_k").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    return rows.join(F.broadcast(n), "_p").withColumn(out, F.col("_b") + F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))).drop("_m", "_p", "_b")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -60,3 +62,40 @@ def overlap_scorer():
         return out
 
     return score
+
+
+#: Makers of rerankers by kind: ``make(path, **options)`` gives what :func:`millrace.operators.metrics.rerank` takes.
+BACKENDS: dict[str, Callable] = {"word-overlap": lambda path=None, **options: overlap_scorer}
+# Kinds of rerankers that model files are recognised as
+CROSS_ENCODER, QWEN, JINA = "cross-encoder", "qwen-reranker", "jina-v3"
+
+
+def register_backend(kind: str, make: Callable) -> None:
+    """Add a kind of reranker, or replace it."""
+    BACKENDS[kind] = make
+
+
+def model_kind(path: str, config: dict | None = None) -> str:
+    """The kind of reranker at ``path``, by its name and its ``config.json`` (read if it is there and none is given)."""
+    name = path.lower().replace("\\", "/")
+    if config is None:
+        file = os.path.join(path, "config.json")
+        config = {}
+        if os.path.isfile(file):
+            with open(file, encoding="utf-8") as f:
+                config = json.load(f)
+    built = [str(x).lower() for x in config.get("architectures") or []] + [str(config.get("auto_map") or "").lower()]
+    if "jina-reranker-v3" in name or any("jinaforranking" in x for x in built):
+        return JINA
+    generative = any("causallm" in x for x in built[:-1]) or str(config.get("model_type") or "").lower() in ("qwen3", "qwen2", "llama")
+    if (generative and "rerank" in name) or ("qwen" in name and "reranker" in name):
+        return QWEN
+    return CROSS_ENCODER
+
+
+def reranker(path: str, kind: str = "auto", **options) -> Callable:
+    """A maker of scorers for a model, by its registered kind; ``auto`` looks at the model. Raises for kinds that aren't registered."""
+    kind = model_kind(path) if kind == "auto" else kind
+    if kind not in BACKENDS:
+        raise ValueError(f"no backend for {kind!r}; there are {sorted(BACKENDS)}")
+    return BACKENDS[kind](path, **options)

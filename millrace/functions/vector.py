@@ -54,3 +54,11 @@ def spherical_mean(df: DataFrame, keys: list[str], vector: str, weight: str | No
     m = F.transform("_p", lambda p: p["_s"] / p["_sw"])
     g = g.withColumn("_m", m).withColumn("_l", F.greatest(norm("_m"), F.lit(eps))).withColumn("_len", F.col("_p")[0]["_sn"] / F.col("_p")[0]["_sw"])
     return g.select(*keys, F.transform("_m", lambda x: x / F.col("_l") * F.col("_len")).alias("mean"))
+
+
+def merge_tensors(tensors: DataFrame, key: str = "name", model: str = "model", values: str = "values", is_float: str = "is_float", weight: str | None = None, eps: float = 1e-8) -> DataFrame:
+    """``(key, values)``: of tensors with a name in several models one each: the :func:`spherical_mean` where they are floating-point, else
+    the one of the first model (the smallest ``model``)."""
+    mean = spherical_mean(tensors.where(is_float), [key], values, weight, eps).withColumnRenamed("mean", values)
+    first = tensors.where(~F.col(is_float)).groupBy(key).agg(F.min_by(values, model).alias(values))
+    return mean.unionByName(first.select(key, F.col(values).cast("array<double>").alias(values)))

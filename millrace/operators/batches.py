@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash60
+from ..session import Scratch
 
 #: Rows of a dataset that one task packs without duplicates.
-CHUNK = 65_536
+CHUNK = 262_144
 
 
 def ranked(df: DataFrame, by: list[str], order, out: str, chunk: int = 100_000) -> DataFrame:
@@ -34,45 +38,100 @@ def plain_batches(df: DataFrame, key: str, size: int, seed: int = 42, epoch: int
     return out.drop("place")
 
 
+def greedy_batches(queues: list[list[tuple]], size: int) -> list[list]:
+    """Batches of rows from ``queues`` of ``(row, positive)``, each queue taken from its front. A batch is what a walk along the
+    queues takes that stops at ``size`` rows and leaves out queues whose next positive it holds already.
+
+    That is, for each positive the first queue that offers it, and of these the first ``size``. Queues are kept by the positive
+    they offer, and positives by their first queue, in heaps: a row costs a logarithm, whatever is waiting."""
+    queues = [q[::-1] for q in queues]
+    offers: dict = {}  # positive: heap of the queues that offer it next
+    for i, q in enumerate(queues):
+        if q:
+            offers.setdefault(q[-1][1], []).append(i)  # ascending, so a heap
+    first = [(of[0], p) for p, of in offers.items()]
+    order = {p: n for n, p in enumerate(offers)}  # positives needn't compare
+    heap = [(i, order[p], p) for i, p in first]
+    heapify(heap)
+    out = []
+    while heap:
+        batch, moved, again = [], [], set()
+        while heap and len(batch) < size:
+            i, _, p = heappop(heap)
+            of = offers.get(p)
+            if p in again or not of or of[0] != i:  # in the batch already, or not this positive's first queue any more
+                continue
+            heappop(of)
+            batch.append(queues[i].pop()[0])
+            again.add(p)
+            if queues[i]:
+                moved.append(i)
+        for i in moved:
+            p = queues[i][-1][1]
+            heappush(offers.setdefault(p, []), i)
+            again.add(p)
+        for p in again:
+            if offers[p]:
+                heappush(heap, (offers[p][0], order.setdefault(p, len(order)), p))
+            else:
+                del offers[p]
+        if batch:
+            out.append(batch)
+    return out
+
+
 def no_duplicate_batches(df: DataFrame, size: int, seed: int = 42, epoch: int = 0, drop_last: bool = False, chunk: int = CHUNK) -> DataFrame:
     """``df(dataset, row, anchor, positive)`` with ``chunk`` and ``batch``: in a batch no anchor and no positive occurs twice.
 
-    Anchors are queues in seeded order; each batch takes the head of every queue whose positive it doesn't hold yet.
-    Large datasets are dealt to chunks by the anchor's hash and packed chunk by chunk; a chunk has only its own
-    batches. With ``drop_last`` the first short batch ends its chunk. Packing is sequential by nature; the order of rows
-    of one anchor is that of their hash. Null keys count as keys of their own row."""
+    Anchors are queues in seeded order, and :func:`greedy_batches` fills the batches; every batch takes at least one row, so
+    it always ends. A dataset of more than ``chunk`` rows is dealt to chunks by a hash of the row and packed chunk by chunk; full
+    batches are final, the rows of short ones are dealt again to as few chunks as hold them, until one is enough or most
+    batches stay short because their keys repeat too often. So chunks cost no rows; with ``drop_last`` the short
+    batches of the last round are dropped. Null keys count as keys of their own row. Rows without a dataset are a group of their own."""
+    spark, tmp = df.sparkSession, None
     h = hash60(F.lit(f"{seed + epoch}|"), F.coalesce(F.col("anchor").cast("string"), F.concat(F.lit("row "), F.col("row").cast("string"))))
-    n = df.groupBy("dataset").agg(F.ceil(F.count("*") / chunk).alias("_n"))
-    # an anchor with more rows than a chunk is dealt by row: its rows could never share a batch anyway
-    per = df.groupBy("dataset", "anchor").agg((F.count("*") > chunk // 4).alias("_hot"))
-    rows = df.join(n, "dataset").join(per.withColumnRenamed("dataset", "_d").withColumnRenamed("anchor", "_a"), F.col("dataset").eqNullSafe(F.col("_d")) & F.col("anchor").eqNullSafe(F.col("_a")), "left").drop("_d", "_a")
-    rows = rows.withColumn("chunk", F.pmod(F.when(F.col("_hot"), F.xxhash64("row")).otherwise(h), F.col("_n"))).withColumn("_h", h).drop("_n", "_hot")
-    kinds = dict(df.dtypes)
-    schema = f"dataset {kinds['dataset']}, row {kinds['row']}, chunk long, batch long"
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_h", "row"])
-        queues: dict = {}
-        for row, a, p in zip(pdf["row"], pdf["anchor"], pdf["positive"]):
-            queues.setdefault(("row", row) if pd.isna(a) else a, []).append((row, ("row", row) if pd.isna(p) else p))
-        groups = [q[::-1] for q in queues.values()]
-        out, batch = [], 0
-        while groups:
-            used, taken, rest = set(), [], []
-            for g in groups:
-                if len(taken) < size and g[-1][1] not in used:
-                    row, p = g.pop()
-                    used.add(p)
-                    taken.append(row)
-                if g:
-                    rest.append(g)
-            if drop_last and len(taken) < size:
-                break
-            out += [(r, batch) for r in taken]
-            batch, groups = batch + 1, rest
-        return pd.DataFrame({"dataset": pdf["dataset"].iloc[0], "row": [r for r, _ in out], "chunk": pdf["chunk"].iloc[0], "batch": [b for _, b in out]})
-
-    return rows.groupBy("dataset", "chunk").applyInPandas(pack, schema)
+    rows = df.select("dataset", "row", "anchor", "positive").withColumn("_h", h)
+    kinds, cols = dict(rows.dtypes), rows.columns
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in cols) + ", chunk long, batch long, full boolean"
+
+    def pack(round_: int):
+        def f(pdf: pd.DataFrame) -> pd.DataFrame:
+            pdf = pdf.sort_values(["_h", "row"]).reset_index(drop=True)
+            queues: dict = {}
+            for at, (row, a, p) in enumerate(zip(pdf["row"], pdf["anchor"], pdf["positive"])):
+                queues.setdefault(("row", row) if pd.isna(a) else a, []).append((at, ("row", row) if pd.isna(p) else p))
+            made = greedy_batches(list(queues.values()), size)
+            at = [i for b in made for i in b]
+            out = pdf.iloc[at].copy()
+            out["chunk"] = (round_ << 40) + pdf["_chunk"].iloc[0]
+            out["batch"] = np.repeat(np.arange(len(made)), [len(b) for b in made])
+            out["full"] = np.repeat([len(b) == size for b in made], [len(b) for b in made])
+            return out[[*cols, "chunk", "batch", "full"]]
+
+        return f
+
+    final, left, round_ = None, rows, 0
+    while True:
+        n = left.groupBy("dataset").agg(F.count("*").alias("_all"))
+        n = n.select(F.col("dataset").alias("_d"), F.ceil(F.col("_all") / chunk).alias("_n"))
+        dealt = left.join(n, F.col("dataset").eqNullSafe(F.col("_d"))).withColumn("_chunk", F.pmod(F.xxhash64("row", F.lit(round_)), F.col("_n"))).drop("_d", "_n")
+        packed = dealt.groupBy("dataset", "_chunk").applyInPandas(pack(round_), schema)
+        most = n.agg(F.max("_n")).first()[0] or 1  # one number
+        if most == 1:
+            break
+        tmp = tmp or Scratch(spark, "batches")
+        packed = tmp.cut(packed)
+        full = packed.where("full")
+        final = full if final is None else final.unionByName(full)
+        short = packed.where("not full").select(*cols)
+        before, after = packed.count(), short.count()
+        if not after or 10 * after > 9 * before:  # what is left repeats its keys too often
+            packed = packed.where("not full")
+            break
+        left, round_ = short, round_ + 1
+    out = packed.where("full") if drop_last else packed
+    out = out if final is None else final.unionByName(out)
+    return out.select("dataset", "row", "chunk", "batch")
 
 
 def batch_counts(df: DataFrame, size: int, by: list[str], drop_last: bool = False) -> DataFrame:
@@ -93,9 +152,8 @@ def schedule(counts: DataFrame, seed: int = 42, epoch: int = 0) -> DataFrame:
     seed + epoch, dataset and number; the n-th step of a dataset gets its n-th batch."""
     steps = counts.where("batches > 0").select("dataset", F.explode(F.sequence(F.lit(0).cast("long"), F.col("batches").cast("long") - 1)).alias("i"))
     h = hash60(F.lit(f"{seed + epoch}|"), "dataset", F.lit("|"), "i")
-    steps = ranked(steps.withColumn("_all", F.lit(0)), ["_all"], h, "step").drop("_all", "i")
-    w = W.partitionBy("dataset").orderBy("step")
-    return steps.withColumn("batch", (F.row_number().over(w) - 1).cast("long")).select("step", "dataset", "batch")
+    steps = ranked(steps.withColumn("_all", F.lit(0)), ["_all"], h, "step").drop("_all")
+    return ranked(steps, ["dataset"], h, "batch").select("step", "dataset", "batch")
 
 
 def in_batch_negatives(batched: DataFrame, k: int, seed: int = 42) -> DataFrame:

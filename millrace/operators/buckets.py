@@ -6,26 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.keys import hash60, hash63, normalize, strip
+from ..functions.keys import default_dataset, first_non_empty, hash60, hash63, normalize, strip
 
 HASHES = {"md5": hash60, "blake2b": lambda c: hash63(normalize(c))}
-# What stands for an empty text in a hash
-EMPTY_POSITIVE, EMPTY_NEGATIVE = "__empty_positive__", "__empty_negative__"
+# What stands for an id or text that is missing, and for an empty text, in a hash
+MISSING_ID, MISSING_POSITIVE, EMPTY_POSITIVE, EMPTY_NEGATIVE = "__missing_query_id__:", "__missing_positive__:", "__empty_positive__", "__empty_negative__:"
 
 
-def add_bucket(df: DataFrame, n: int, key: str = "query_id", row_key: str | None = None, algorithm: str = "md5", positive: str = "positive", negatives: list[str] = ()) -> DataFrame:
-    """Add ``query_key64``, ``bucket_id``, ``positive_key64`` and ``negative_key64_i``. ``algorithm``: ``blake2b`` for 63 bits
-    of BLAKE2b (equal to stored buckets, in Python), ``md5`` for 60 bits of MD5 (inside generated code).
+def add_bucket(df: DataFrame, n: int, key: str = "query_id", row_key: str | None = None, algorithm: str = "md5", positive: str = "positive", negatives: list[str] = (), stem: str | None = None) -> DataFrame:
+    """Add ``query_key64``, ``bucket_id``, ``positive_key64``, ``negative_key64_i`` and, where it is missing, an empty ``lang``.
+    ``algorithm``: ``blake2b`` for 63 bits of BLAKE2b (equal to stored buckets, in Python), ``md5`` for 60 bits of MD5 (inside
+    generated code). ``stem``: the name of the rows' file, for rows whose ``dataset`` is null or blank.
 
-    A null or blank key is replaced by ``row_key`` (a column that names the row); empty texts hash a sentinel."""
+    Keys and texts are hashed without outer white space; of an array the first text that isn't blank counts. A null or blank key
+    and a missing positive column are replaced by ``row_key`` (a column that names the row; if there is none, the hash of all
+    columns, so that such rows spread over all buckets); empty positives hash a sentinel, empty negatives one with their number."""
     h = HASHES[algorithm]
-    k = F.coalesce(F.when(strip(normalize(key)) != "", normalize(key)), F.concat(F.lit("row:"), normalize(row_key)) if row_key else F.lit(""))
-    df = df.withColumn("_k", k).withColumn("query_key64", h("_k")).withColumn("bucket_id", F.pmod("query_key64", F.lit(n)).cast("int")).drop("_k")
-    for name, c, sentinel in [("positive_key64", positive, EMPTY_POSITIVE), *((f"negative_key64_{i}", c, EMPTY_NEGATIVE) for i, c in enumerate(negatives, 1))]:
+    row = normalize(row_key) if row_key else F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    k = strip(normalize(key))
+    df = df.withColumn("_k", F.when(k != "", k).otherwise(F.concat(F.lit(MISSING_ID), row)))
+    if positive not in df.columns:
+        df = df.withColumn("_p", F.concat(F.lit(MISSING_POSITIVE), row)).withColumn("positive_key64", h("_p")).drop("_p")
+    df = df.withColumn("query_key64", h("_k")).withColumn("bucket_id", F.pmod("query_key64", F.lit(n)).cast("int")).drop("_k")
+    kinds = dict(df.dtypes)
+    for name, c, sentinel in [("positive_key64", positive, EMPTY_POSITIVE), *((f"negative_key64_{i}", c, f"{EMPTY_NEGATIVE}{i}") for i, c in enumerate(negatives, 1))]:
         if c in df.columns:
-            t = strip(normalize(c))
+            t = first_non_empty(F.col(c)) if kinds[c].startswith("array") else strip(normalize(c))
             df = df.withColumn("_t", F.when(t == "", sentinel).otherwise(t)).withColumn(name, h("_t")).drop("_t")
-    return df
+    if stem is not None:
+        df = df.withColumn("dataset", default_dataset("dataset", stem) if "dataset" in df.columns else F.lit(stem))
+    return df if "lang" in df.columns else df.withColumn("lang", F.lit(""))
 
 
 def manifest(bucketed: DataFrame, key: str = "query_id", split: str | None = None) -> DataFrame:

@@ -61,12 +61,12 @@ def rank_filter(scored: DataFrame, k: int, strict: bool = True) -> DataFrame:
 
 
 def filter_stats(scored: DataFrame, k: int) -> DataFrame:
-    """Counts by dataset and, with a null dataset, over all: rows, rows not consistent, found, found below ``k``, without
+    """Counts by dataset and over all (``is_total`` 1, null dataset): rows, rows not consistent, found, found below ``k``, without
     virtual rank, kept by retrieval, kept by virtual rank, and the kept part in percent."""
     rr, vr = F.col("retrieval_rank"), F.col("virtual_rank")
     by_r = (rr != -1) & (rr < k)
     return scored.rollup("dataset").agg(
-        F.count("*").alias("n"), F.count_if(~F.col("consistency")).alias("inconsistent"), F.count_if(rr != -1).alias("found"), F.count_if(by_r).alias("kept_by_retrieval"),
+        F.grouping("dataset").cast("int").alias("is_total"), F.count("*").alias("n"), F.count_if(~F.col("consistency")).alias("inconsistent"), F.count_if(rr != -1).alias("found"), F.count_if(by_r).alias("kept_by_retrieval"),
         F.count_if(vr == -1).alias("without_virtual"), F.count_if(~by_r & (vr != -1) & (vr < k)).alias("kept_by_virtual"), F.round(100.0 * F.count_if(within(k)) / F.count("*"), 6).alias("kept_percent"),
     )
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.keys import lang_key
 from ..schema import require_empty
 
 CUTOFFS = (1, 3, 5, 10, 100)
@@ -64,6 +65,29 @@ def macro_metrics(by_dataset: DataFrame, dataset: str = "dataset", places: int =
     return by_dataset.agg(F.count("*").alias("datasets"), *(F.round(F.avg(c), places).alias(c) for c in metrics))
 
 
+def metrics_by_language(per_query: DataFrame, lang: str = "lang", places: int = 7) -> DataFrame:
+    """``(lang_key, queries, metrics)``: means of the queries in Russian, English and both directions between them, and over all
+    (``all``). Languages are read by :func:`millrace.functions.keys.lang_key`; others count in ``all`` only."""
+    rows = per_query.withColumn("lang_key", F.explode(F.array_compact(F.array(lang_key(lang), F.lit("all"))))).drop(lang)
+    return mean_metrics(rows, ["lang_key"], places)
+
+
+def sample_run(samples: DataFrame, score) -> tuple[DataFrame, DataFrame]:
+    """``(run, qrels)`` of evaluation samples ``(query_id, query, positive, negative)``: each sample ranks its own positives (relevant) and
+    negatives by ``score(query, text)``, a function of columns. ``doc_id`` tells places apart, positives first."""
+    docs = F.concat(F.transform("positive", lambda x, i: F.struct(F.format_string("p%06d", i).alias("doc_id"), x.alias("text"))), F.transform(F.coalesce("negative", F.array().cast("array<string>")), lambda x, i: F.struct(F.format_string("n%06d", i).alias("doc_id"), x.alias("text"))))
+    rows = samples.select("query_id", "query", F.explode(docs).alias("d")).select("query_id", "query", "d.doc_id", "d.text")
+    run = rows.select("query_id", "doc_id", score(F.col("query"), F.col("text")).alias("score"))
+    return run, rows.where(F.col("doc_id").startswith("p")).select("query_id", "doc_id", F.lit(1).alias("relevance"))
+
+
+def first_queries(run: DataFrame, queries: DataFrame, n: int | None, order: str = "query_id") -> DataFrame:
+    """The run of the ``n`` first of ``queries`` by ``order`` (a column of them, such as a row ordinal); None: all."""
+    if n is None:
+        return run
+    return run.join(F.broadcast(queries.select("query_id", order).distinct().orderBy(order, "query_id").limit(n).select("query_id")), "query_id", "left_semi")  # n rows
+
+
 def validate_run(run: DataFrame, expected: DataFrame, k: int) -> DataFrame:
     """``(query_id, n, problem)`` for expected queries: ``missing`` without results, ``oversize`` with more than ``k``."""
     n = run.groupBy("query_id").agg(F.count("*").alias("n"))

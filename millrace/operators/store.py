@@ -56,6 +56,19 @@ def with_vectors(rows: DataFrame, store: DataFrame, keys: dict[str, str], out: s
     return rows
 
 
+def complete_vectors(rows: DataFrame, vector: str, key: str, text: str, embed=None, dim: int | None = None) -> DataFrame:
+    """``rows`` with a ``vector`` each: those without one get it from ``embed`` (a function of a text column, as
+    :func:`millrace.functions.models.embedder` makes them; only their texts reach the model), else they raise. A vector of another size
+    than ``dim`` raises, too. Null and blank texts have no vector to get: with a model they keep a null."""
+    if dim is not None:
+        require_empty(rows.where(F.col(vector).isNotNull() & (F.size(vector) != dim)).select(key, F.size(vector).alias("dim")), f"vectors not of {dim} numbers")
+    if embed is None:
+        return require_vectors(rows, vector, key)
+    missing = rows.where(F.col(vector).isNull())
+    made = missing.withColumn(vector, embed(F.col(text)).cast(dict(rows.dtypes)[vector]))
+    return rows.where(F.col(vector).isNotNull()).unionByName(made)
+
+
 def require_vectors(rows: DataFrame, vector: str, key: str) -> DataFrame:
     """Raise if a row has no vector and there is no embedder to make one."""
     require_empty(rows.where(F.col(vector).isNull()).select(key).distinct(), "no vector for")

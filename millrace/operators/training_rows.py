@@ -9,6 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.keys import first_non_empty, normalize, strip
+from ..schema import require_empty
+
 
 def permutations(pairs: DataFrame, mode: str = "all") -> DataFrame:
     """``(dataset, query_lang, passage_lang)``: the ordered pairs of a dataset's languages, or the diagonal only
@@ -66,15 +69,31 @@ def with_texts(rows: DataFrame, query_texts: DataFrame, passage_texts: DataFrame
     """Fixed-width rows ``(query_id, dataset, query_lang, passage_lang, query, positive, negative1..n)``.
 
     ``query_texts(dataset, query_id, lang, text)`` and ``passage_texts(dataset, passage_id, lang, text)`` hold one text a key.
-    All passages of a row are exploded, joined with their texts once, and collected again by place."""
+    All passages of a row are exploded, joined with their texts once, and collected again by place. Longer texts than ``max_chars``
+    are cut; ``truncated`` counts those of a row."""
     cut = lambda c: F.substring(c, 1, max_chars)
+    over = lambda c: (F.char_length(c) > max_chars).cast("int")
     key = ["dataset", "query_id", "query_lang", "passage_lang", "positive_id"]
     everything = F.concat(F.array(F.struct(F.col("positive_id").alias("passage"), F.col("passage_lang").alias("lang"))), "negatives")
     parts = rows.select(*key, F.posexplode(everything).alias("place", "x")).select(*key, "place", F.col("x.passage").alias("passage_id"), F.col("x.lang").alias("lang"))
-    parts = parts.join(passage_texts.select("dataset", "passage_id", "lang", cut("text").alias("text")), ["dataset", "passage_id", "lang"])
-    g = parts.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("place", "text"))).alias("m"))
-    g = g.join(query_texts.select("dataset", "query_id", F.col("lang").alias("query_lang"), cut("text").alias("query")), ["dataset", "query_id", "query_lang"])
-    return g.select("query_id", "dataset", "query_lang", "passage_lang", "query", F.col("m")[0].alias("positive"), *(F.col("m")[i].alias(f"negative{i}") for i in range(1, n + 1)))
+    parts = parts.join(passage_texts.select("dataset", "passage_id", "lang", cut("text").alias("text"), over("text").alias("over")), ["dataset", "passage_id", "lang"])
+    g = parts.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("place", "text"))).alias("m"), F.sum("over").alias("over"))
+    g = g.join(query_texts.select("dataset", "query_id", F.col("lang").alias("query_lang"), cut("text").alias("query"), over("text").alias("q_over")), ["dataset", "query_id", "query_lang"])
+    return g.select("query_id", "dataset", "query_lang", "passage_lang", "query", F.col("m")[0].alias("positive"), *(F.col("m")[i].alias(f"negative{i}") for i in range(1, n + 1)), (F.col("over") + F.col("q_over")).cast("int").alias("truncated"))
+
+
+def mined_lists(queries: DataFrame, mined: DataFrame, first: str, second: str, key: str = "query") -> DataFrame:
+    """``mined`` once for each row of ``queries`` that finds it by its ``first`` key or, only where nothing has that key, by its
+    ``second``; with both key columns of ``queries``. Nulls find nothing."""
+    held = mined.select(F.col(key).alias("_k")).distinct()
+    q = queries.select(first, second).distinct()
+    known = q.join(held, q[first] == held["_k"], "left").select(first, second, F.coalesce("_k", second).alias("_by"))
+    return known.join(mined, known["_by"] == mined[key]).drop("_by", key)
+
+
+def row_stats(rows: DataFrame) -> DataFrame:
+    """``(dataset, rows, truncated)`` of what :func:`with_texts` made: rows, and texts that were cut."""
+    return rows.groupBy("dataset").agg(F.count("*").alias("n_rows"), F.sum("truncated").alias("truncated"))
 
 
 def drop_stats(fate: DataFrame) -> DataFrame:
@@ -95,6 +114,12 @@ def training_text_columns(columns: list[str], k: int) -> list[str]:
     return [anchor, "positive", *(c for _, c in negs[:k])]
 
 
-def for_loss(df: DataFrame, k: int) -> DataFrame:
-    """The text columns only, as strings, null as empty."""
-    return df.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in training_text_columns(df.columns, k)))
+def for_loss(df: DataFrame, k: int, check: bool = True) -> DataFrame:
+    """The text columns only, as stripped strings, null as empty; of an array the first text that isn't blank. Raises if an anchor or a
+    positive is empty then, unless told not to check."""
+    kinds = dict(df.dtypes)
+    cols = training_text_columns(df.columns, k)
+    out = df.select(*((first_non_empty(F.col(c)) if kinds[c].startswith("array") else strip(normalize(c))).alias(c) for c in cols))
+    if check:
+        require_empty(out.where((F.col(cols[0]) == "") | (F.col("positive") == "")).select(*cols[:2]), "empty texts")
+    return out

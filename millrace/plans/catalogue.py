@@ -10,9 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import pairs_queries, retrieval_queries, training_queries
+from . import io_queries, pairs_queries, retrieval_queries, training_queries
 
-_PARTS = (pairs_queries, retrieval_queries, training_queries)
+_PARTS = (pairs_queries, retrieval_queries, training_queries, io_queries)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

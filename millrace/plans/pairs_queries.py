@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import keys, text, vector
 from ..operators import buckets, coverage, graph, metrics, quality, store
-from ..session import Scratch
+from .. import schema
 from . import sql
 
 
@@ -178,7 +178,7 @@ def inspect_sample(spark, d):
 
 
 def cast_strings(spark, d):
-    p = _t(spark, d, "nodes").select(F.col("id").cast("string").alias("id"), F.col("parent").cast("string").alias("parent"))
+    p = schema.all_strings(_t(spark, d, "nodes"))
     return p.groupBy(F.coalesce("parent", F.lit("")).alias("parent")).agg(F.count("*").alias("n"), F.max("id").alias("last_id"))
 
 
@@ -186,6 +186,11 @@ _JOINED = "coalesce(query, '') || ' ' || coalesce(passage, '')"
 _EDGE = "'{}' || chr(31) || coalesce({}, '') || chr(31) || coalesce(lang, '') || chr(31) || coalesce(dataset, '')"
 _SCOPED = sql.COMPONENTS.replace("'q:' || coalesce(query_id, '')", _EDGE.format("q", "query_id")).replace("'p:' || coalesce(passage_id, '')", _EDGE.format("p", "passage_id"))
 
+#: The language key of every spelling in the samples.
+LANG_KEY = """with g as (select lang, count(*) as n from reranking_samples group by 1),
+      k as (select lang, n, list_slice(list_filter(list_transform(string_split(regexp_replace(lower(coalesce(lang, '')), '[^a-zа-я]+', '-', 'g'), '-'), lambda x: case when x in ('ru', 'rus', 'russian', 'рус', 'русский') then 'ru' when x in ('en', 'eng', 'english', 'англ', 'английский') then 'en' end), lambda x: x is not null), 1, 2) as two from g)
+      select lang, case when len(two) = 0 then null when len(two) = 2 and two[1] <> two[2] then two[1] || '-' || two[2] else two[1] end as lang_key, n from k"""
+
 QUERIES = {
     "lang_full_coverage": (lang_full_coverage, f"""with {_CLEAN}, al as (select dataset, count(distinct lang) as a from pr group by 1),
       pl as (select dataset, query_id, passage_id, count(distinct lang) as n, bool_or(lang is null) as z from pr group by all)
@@ -218,9 +223,7 @@ QUERIES = {
       m as (select dataset, kind, i, avg(x / n) as x from e group by 1, 2, 3), l as (select dataset, kind, sqrt(sum(x * x)) as l from m group by 1, 2), a as (select dataset, kind, avg(n) as len from u group by 1, 2)
       select m.dataset, m.kind, round(any_value(a.len), 6) as length, round(max(case when i = 1 then x / l.l * a.len end), 6) as x0, round(max(case when i = 128 then x / l.l * a.len end), 6) as x127
       from m join l on l.dataset = m.dataset and l.kind = m.kind join a on a.dataset = m.dataset and a.kind = m.kind group by 1, 2"""),
-    "lang_key_normalise": (lang_key_normalise, """with g as (select lang, count(*) as n from reranking_samples group by 1),
-      k as (select lang, n, list_slice(list_filter(list_transform(string_split(regexp_replace(lower(coalesce(lang, '')), '[^a-zа-я]+', '-', 'g'), '-'), lambda x: case when x in ('ru', 'rus', 'russian', 'рус', 'русский') then 'ru' when x in ('en', 'eng', 'english', 'англ', 'английский') then 'en' end), lambda x: x is not null), 1, 2) as two from g)
-      select lang, case when len(two) = 0 then null when len(two) = 2 and two[1] <> two[2] then two[1] || '-' || two[2] else two[1] end as lang_key, n from k"""),
+    "lang_key_normalise": (lang_key_normalise, LANG_KEY),
     "safe_dataset_name": (safe_dataset_name, f"""with g as (select source, count(*) as n from documents group by 1)
       select source, case when coalesce(source, '') = '' then 'unknown_dataset' else regexp_replace(source, '[^A-Za-z0-9_.-]+', '_', 'g') end as file_name, case when coalesce({sql.strip('source')}, '') = '' then 'none' else {sql.strip('source')} end as dataset,
         regexp_replace(regexp_replace(coalesce(source, ''), '[^A-Za-z0-9_.-]+', '-', 'g'), '^-+|-+$', '', 'g') as model_name, n from g"""),

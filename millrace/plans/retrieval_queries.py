@@ -203,7 +203,7 @@ QUERIES = {
     "knn_topk_l2": (knn_topk_l2, f"with {_KNN_L2} select query, passage, round(s, 6) as score, cast(rank as int) as rank from r where rank <= 10"),
     "consistency_score": (consistency_score, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, retrieval_rank, virtual_rank, consistency, count(*) as n from scored group by all"),
     "consistency_filter": (consistency_filter, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, query, retrieval_rank, virtual_rank from scored where {sql.BY_R} or (not {sql.BY_R} and {sql.BY_V})"),
-    "filter_stats_rollup": (filter_stats_rollup, f"""with {sql.SCORED} select dataset, count(*) as n, count(*) filter (not consistency) as inconsistent, count(*) filter (retrieval_rank <> -1) as found, count(*) filter {sql.BY_R} as kept_by_retrieval,
+    "filter_stats_rollup": (filter_stats_rollup, f"""with {sql.SCORED} select dataset, cast(grouping(dataset) as int) as is_total, count(*) as n, count(*) filter (not consistency) as inconsistent, count(*) filter (retrieval_rank <> -1) as found, count(*) filter {sql.BY_R} as kept_by_retrieval,
       count(*) filter (virtual_rank = -1) as without_virtual, count(*) filter (not {sql.BY_R} and {sql.BY_V}) as kept_by_virtual, round(100.0 * count(*) filter ({sql.BY_R} or {sql.BY_V}) / count(*), 6) as kept_percent from scored group by rollup (dataset)"""),
     "consistency_by_dataset": (consistency_by_dataset, f"with {sql.SCORED} select dataset, count(*) as n, count(*) filter (consistency) as consistent, round(avg(cast(consistency as int)), 9) as ratio from scored group by 1"),
     "positive_reference_score": (positive_reference_score, f"with {sql.MINED} select query, round(avg_pos_score, 6) as avg_pos_score from ref"),

@@ -50,7 +50,7 @@ def compile_recipes(spark, d):
     return r.select("dataset", "query_id", "query_lang", "passage_lang", "positive_id", F.array_join(F.transform("negatives", lambda x: F.concat(x["passage"], F.lit("_"), x["lang"])), ",").alias("negatives"))
 
 
-def compile_training_rows(spark, d):
+def _with_texts(spark, d):
     rows, _ = _compiled(spark, d)
     p = _pairs(spark, d)
     qt = coverage.last_row(p, ["dataset", "query_id", "lang"], "query", F.col("loaded_at")).withColumnRenamed("query", "text")
@@ -58,6 +58,14 @@ def compile_training_rows(spark, d):
     return training_rows.with_texts(rows, qt, pt, NEGATIVES)
 
 
+def compile_training_rows(spark, d):
+    return _with_texts(spark, d).drop("truncated")
+
+
+def compile_row_stats(spark, d):
+    return training_rows.row_stats(_with_texts(spark, d))
+
+
 def compile_drop_stats(spark, d):
     return training_rows.drop_stats(_compiled(spark, d)[1])
 
@@ -82,8 +90,9 @@ _NEGATIVE_TEXTS = " ".join(f"join lt_passage t{i} on t{i}.dataset = rc.dataset a
 
 
 def _bucketed(spark, d, algorithm="md5"):
-    p = _t(spark, d, "pairs").select("query_id", "dataset", F.col("query"), F.col("passage").alias("positive"))
-    return buckets.add_bucket(p, 64, algorithm=algorithm)
+    row = F.md5(F.concat_ws("\x1f", *(keys.normalize(c) for c in ("query", "passage", "passage_id", "lang"))))
+    p = _t(spark, d, "pairs").select("query_id", "dataset", F.col("query"), F.col("passage").alias("positive"), "lang", row.alias("row"))
+    return buckets.add_bucket(p, 64, row_key="row", algorithm=algorithm).drop("row")
 
 
 def hash_buckets(spark, d):
@@ -99,8 +108,8 @@ def bucket_manifest(spark, d):
 
 
 def bucket_totals(spark, d):
-    p = _t(spark, d, "reranking_samples").select(F.lower(F.trim("split")).alias("split"), "dataset", F.col("query").alias("query_id"))
-    return buckets.split_totals(buckets.manifest(buckets.add_bucket(p, 16), split="split"), "split")
+    p = _t(spark, d, "reranking_samples").select(F.lower(F.trim("split")).alias("split"), "dataset", F.col("query").alias("query_id"), "sample_id")
+    return buckets.split_totals(buckets.manifest(buckets.add_bucket(p, 16, row_key="sample_id"), split="split"), "split")
 
 
 def max_length_hint(spark, d):
@@ -205,7 +214,9 @@ def stream_filter_bucket(spark, d):
     return out.select("query_id", "passage_id", "lang", "dataset", "query_key64", "bucket_id")
 
 
-_B = f"select query_id, dataset, passage, {sql.hash60('query_id')} as query_key64, cast({sql.hash60('query_id')} % 64 as int) as bucket_id, case when {sql.strip('passage')} is null or {sql.strip('passage')} = '' then {sql.hash60(chr(39) + '__empty_positive__' + chr(39))} else {sql.hash60(sql.strip('passage'))} end as positive_key64 from pairs"
+_ROW = "md5(" + " || chr(31) || ".join(f"coalesce({c}, '')" for c in ("query", "passage", "passage_id", "lang")) + ")"
+_ID = f"case when {sql.strip("coalesce(query_id, '')")} <> '' then {sql.strip('query_id')} else '__missing_query_id__:' || {_ROW} end"
+_B = f"select query_id, dataset, passage, {sql.hash60(_ID)} as query_key64, cast({sql.hash60(_ID)} % 64 as int) as bucket_id, case when {sql.strip('passage')} is null or {sql.strip('passage')} = '' then {sql.hash60(chr(39) + '__empty_positive__' + chr(39))} else {sql.hash60(sql.strip('passage'))} end as positive_key64 from pairs"
 _MAN = "select dataset, bucket_id, count(*) as n_rows, count(distinct query_id) as unique_query_ids from b group by 1, 2"
 def _texts(column: str) -> str:
     return f"list_filter(list_transform(coalesce({column}, []), lambda x: {sql.clean('x')}), lambda x: x <> '')"
@@ -227,18 +238,25 @@ QUERIES = {
       select rc.query_id, rc.dataset, rc.query_lang, rc.passage_lang, q.text as query, p.text as positive, {_NEGATIVE_COLUMNS} from rc
       join lt_query q on q.dataset = rc.dataset and q.id = rc.query_id and q.lang = rc.query_lang join lt_passage p on p.dataset = rc.dataset and p.id = rc.positive_id and p.lang = rc.passage_lang
       {_NEGATIVE_TEXTS}"""),
+    "compile_row_stats": (compile_row_stats, f"""with {_COMPILED}, {_LAST.format('query')}, {_LAST.format('passage')}
+      select rc.dataset, count(*) as n_rows, cast(sum({' + '.join(f"cast(length({x}.text) > 32768 as int)" for x in ["q", "p", *(f"t{i}" for i in range(1, NEGATIVES + 1))])}) as bigint) as truncated from rc
+      join lt_query q on q.dataset = rc.dataset and q.id = rc.query_id and q.lang = rc.query_lang join lt_passage p on p.dataset = rc.dataset and p.id = rc.positive_id and p.lang = rc.passage_lang
+      {_NEGATIVE_TEXTS} group by 1"""),
     "compile_drop_stats": (compile_drop_stats, f"with {_COMPILED} select dataset, count(*) as queries, count(*) filter (outcome = 'written') as written, count(*) filter (outcome = 'insufficient') as insufficient, count(*) filter (outcome = 'incomplete') as incomplete from fate group by 1"),
     "hash_buckets": (hash_buckets, f"with b as ({_B}) select query_id, query_key64, bucket_id, count(*) as n, count(distinct positive_key64) as positives, max(positive_key64) as last_positive from b group by 1, 2, 3"),
     "hash_buckets_blake2b": (hash_buckets_blake2b, None),
     "bucket_manifest": (bucket_manifest, f"with b as ({_B}) {_MAN}"),
-    "bucket_totals": (bucket_totals, f"with b as (select lower(trim(split)) as split, dataset, case when {sql.strip('query')} is null or {sql.strip('query')} = '' then '' else query end as k from reranking_samples) select split, count(*) as n_rows, count(distinct dataset) as datasets, count(distinct (dataset, {sql.hash60('k')} % 16)) as buckets from b group by 1"),
+    "bucket_totals": (bucket_totals, f"with b as (select lower(trim(split)) as split, dataset, case when {sql.strip('query')} is null or {sql.strip('query')} = '' then '__missing_query_id__:' || sample_id else {sql.strip('query')} end as k from reranking_samples) select split, count(*) as n_rows, count(distinct dataset) as datasets, count(distinct (dataset, {sql.hash60('k')} % 16)) as buckets from b group by 1"),
     "max_length_hint": (max_length_hint, "with g as (select dataset, max(greatest(length(coalesce(query, '')), length(coalesce(passage, '')))) as max_chars from pairs group by 1) select dataset, cast(max_chars as int) as max_chars, cast(least(512, greatest(128, ceil(max_chars / 4))) as int) as max_length from g"),
     "balance_simulation": (balance_simulation, f"""with b as ({_B}), m as ({_MAN}), w as (select unnest([2, 8, 12]) as world_size), rk as (select world_size, unnest(range(world_size)) as rank from w),
       pl as (select world_size, dataset, bucket_id % world_size as rank, n_rows from m cross join w), ld as (select rk.world_size, rk.rank, coalesce(sum(pl.n_rows), 0) as n_rows from rk left join pl on pl.world_size = rk.world_size and pl.rank = rk.rank group by 1, 2),
       em as (select world_size, count(*) filter (r < world_size) as empty from (select world_size, dataset, count(distinct rank) as r from pl group by 1, 2) group by 1)
       select cast(ld.world_size as int) as world_size, cast(max(n_rows) as bigint) as max_rows, avg(n_rows) as mean_rows, round(max(n_rows) / avg(n_rows), 9) as imbalance, any_value(em.empty) as empty from ld join em on em.world_size = ld.world_size group by 1"""),
     "rank_modulo": (rank_modulo, f"with b as ({_B}), m as ({_MAN}) select dataset, bucket_id % 8 as rank, cast(sum(n_rows) as bigint) as n_rows, count(*) as buckets from m group by 1, 2"),
-    "rank_greedy_lpt": (rank_greedy_lpt, None),
+    "rank_greedy_lpt": (rank_greedy_lpt, f"""with recursive b as ({_B}), m as ({_MAN}), o as (select dataset, bucket_id, n_rows, row_number() over (partition by dataset order by n_rows desc, bucket_id) as i from m),
+      r as (select dataset, 0::bigint as i, 0 as bucket_id, 0::bigint as n_rows, 0::bigint as rank, [0, 0, 0, 0, 0, 0, 0, 0]::bigint[] as loads from (select distinct dataset from m)
+        union all select o.dataset, o.i, o.bucket_id, o.n_rows, list_position(r.loads, list_min(r.loads)) - 1, list_transform(r.loads, lambda x, j: case when j = list_position(r.loads, list_min(r.loads)) then x + o.n_rows else x end) from r join o on o.dataset = r.dataset and o.i = r.i + 1)
+      select dataset, bucket_id, n_rows, cast(rank as int) as rank from r where i > 0"""),
     "batch_plain": (batch_plain, f"with {_BATCHED} select dataset, row, batch from pb"),
     "batch_no_dup": (batch_no_dup, None),
     "batch_count_sync": (batch_count_sync, f"with {_RS}, c as (select dataset, {sql.hash60('anchor')} % 4 as rank, cast(ceil(count(*) / 16) as bigint) as batches from rs group by 1, 2), g as (select dataset, min(batches) as batches, round(avg(batches), 9) as mean from c group by 1) select *, case when batches = 0 then 'empty' when batches < mean / 2 then 'unbalanced' else 'ok' end as outcome from g"),
@@ -269,5 +287,5 @@ QUERIES = {
       ne as (select sh.item_id, count(distinct sh.doc_id) as near_documents, round(max(sh.k / al.k), 9) as containment from sh join al on al.item_id = sh.item_id and al.o = sh.o group by 1)
       select i.item_id, coalesce(x.documents, 0) as documents, coalesce(ne.near_documents, 0) as near_documents, coalesce(ne.containment, 0.0) as containment, case when x.documents > 0 or ne.containment is not null then 'exclude' else 'keep' end as verdict
       from (select distinct item_id from heldout_items) i left join x on x.item_id = i.item_id left join ne on ne.item_id = i.item_id"""),
-    "stream_filter_bucket": (stream_filter_bucket, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, {sql.hash60('query_id')} as query_key64, cast({sql.hash60('query_id')} % 64 as int) as bucket_id from scored where {sql.BY_R} or (not {sql.BY_R} and {sql.BY_V})"),
+    "stream_filter_bucket": (stream_filter_bucket, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, {sql.hash60(sql.strip('query_id'))} as query_key64, cast({sql.hash60(sql.strip('query_id'))} % 64 as int) as bucket_id from scored where {sql.BY_R} or (not {sql.BY_R} and {sql.BY_V})"),
 }

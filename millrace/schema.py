@@ -44,6 +44,24 @@ def require_empty(df: DataFrame, what: str) -> None:
         raise ContractError(f"{what}: {[r.asDict() for r in bad]}")
 
 
+def require_counts(**counts: int) -> None:
+    """Raise unless all counts are equal: rows read, written, restored."""
+    if len(set(counts.values())) > 1:
+        raise ContractError("row counts differ: " + ", ".join(f"{k} {n}" for k, n in counts.items()))
+
+
+def count_differences(by: list[str], **tables: DataFrame) -> DataFrame:
+    """``(by, <name>...)``: the keys that some tables hold in other numbers than others, with each table's number of rows. Empty if
+    nothing was lost or repeated between the stages."""
+    out = None
+    for name, df in tables.items():
+        n = df.groupBy(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in by)).agg(F.count("*").alias(name))
+        out = n if out is None else out.join(n, by, "full")
+    names = list(tables)
+    out = out.fillna(0, names)
+    return out.where(F.greatest(*names) != F.least(*names))
+
+
 def all_strings(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(f"`{c}`").cast("string").alias(c) for c in df.columns))
 

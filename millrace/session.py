@@ -31,10 +31,12 @@ def local_session(cores: int | str = "*", app: str = "millrace", partitions: int
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset (tests, a single
-    machine) a folder of this process is made, set and removed at exit."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset on a single machine (tests) a folder of
+    this process is made, set and removed at exit; on a cluster, whose executors couldn't read it, it is an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         at = tempfile.mkdtemp(prefix="millrace-")
         atexit.register(shutil.rmtree, at, True)
         spark.conf.set("spark.checkpoint.dir", at)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.keys import safe_dataset_name
-from ..operators.buckets import manifest
-from ..schema import ContractError
+from ..schema import MINED, ContractError, require_counts
 
 
 def _exists(spark: SparkSession, where: str) -> bool:
@@ -36,16 +38,50 @@ def write_shards(df: DataFrame, path: str, shards: int, files_per_shard: int = 1
 
 
 def write_buckets(df: DataFrame, path: str, overwrite: bool = False, compression: str = "zstd") -> DataFrame:
-    """``split/dataset/bucket_id`` folders and a manifest of rows and ids in ``_manifest``; the manifest is returned. Raises if
-    the path exists, unless told to overwrite."""
+    """``split/dataset/bucket_id`` folders and, in ``_manifest``, an entry for each file: ``split, dataset, bucket_id, path`` (below the
+    root), ``part`` (numbered within its bucket), ``n_rows`` and ``unique_query_ids``; the manifest is returned. Raises if the path
+    exists, unless told to overwrite, and if not all rows arrived."""
     spark = df.sparkSession
     if _exists(spark, path) and not overwrite:
         raise ContractError(f"{path} exists")
     df.write.mode("overwrite").partitionBy("split", "dataset", "bucket_id").option("compression", compression).parquet(path)
-    back = spark.read.schema(df.schema).parquet(path)
-    m = manifest(back, split="split").orderBy("split", "dataset", "bucket_id")
-    m.coalesce(1).write.json(f"{path}/_manifest")
-    return spark.read.json(f"{path}/_manifest")
+    back = spark.read.schema(df.schema).parquet(path).withColumn("path", F.regexp_extract("_metadata.file_path", "(split=.*)$", 1))
+    m = back.groupBy("split", "dataset", "bucket_id", "path").agg(F.count("*").alias("n_rows"), F.count_distinct("query_id").alias("unique_query_ids"))
+    m = m.withColumn("part", F.row_number().over(W.partitionBy("split", "dataset", "bucket_id").orderBy("path")) - 1)
+    m.orderBy("split", "dataset", "bucket_id", "part").coalesce(1).write.json(f"{path}/_manifest")
+    m = spark.read.json(f"{path}/_manifest")
+    require_counts(processed=df.count(), written=m.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0])
+    return m
+
+
+def write_manifest(spark: SparkSession, path: str, **entries) -> None:
+    """A manifest of plain values; tables of a bounded number of rows (shards, datasets, buckets) become lists of objects."""
+    plain = {k: [r.asDict(True) for r in v.collect()] if isinstance(v, DataFrame) else v for k, v in entries.items()}
+    spark.createDataFrame([(json.dumps(plain, ensure_ascii=False, default=str),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def shard_manifest(rows: DataFrame) -> DataFrame:
+    """``(shard_id, row_count, dataset_counts)`` of rows with ``shard_id`` and ``dataset``; the counts by dataset as a map."""
+    per = rows.groupBy("shard_id", F.coalesce("dataset", F.lit("")).alias("dataset")).agg(F.count("*").alias("n"))
+    return per.groupBy("shard_id").agg(F.sum("n").alias("row_count"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("dataset", "n")))).alias("dataset_counts"))
+
+
+def filter_manifest(scored: DataFrame, kept: DataFrame) -> DataFrame:
+    """``(dataset, input_rows, output_rows)`` of a filter, a row for each dataset of its input."""
+    n = lambda df, name: df.groupBy(F.coalesce("dataset", F.lit("")).alias("dataset")).agg(F.count("*").alias(name))
+    return n(scored, "input_rows").join(n(kept, "output_rows"), "dataset", "left").fillna(0, ["output_rows"])
+
+
+def embedding_manifest(vectors: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(dataset, kind, vectors, keys, dim, text_mismatches)``: the stored vectors and keys, and how many rows of
+    ``texts(dataset, kind, n, mismatches)`` (:func:`millrace.operators.coverage.first_text`) have another text than their key's first."""
+    v = vectors.groupBy("dataset", "kind").agg(F.count("*").alias("vectors"), F.count_distinct("id", "lang").alias("keys"), F.max(F.size("vector")).alias("dim"))
+    m = texts.groupBy("dataset", "kind").agg(F.sum("mismatches").alias("text_mismatches"))
+    return v.join(m, ["dataset", "kind"], "left").fillna(0, ["text_mismatches"])
 
 
 def replace_table(df: DataFrame, path: str) -> None:
@@ -68,9 +104,32 @@ def write_conflicts(resolved: DataFrame, path: str) -> None:
 
 
 def write_run(run: DataFrame, path: str) -> None:
-    """One JSON line a query: ``{"query_id": ..., "docs": {doc: score}}``; a query's list is of bounded length."""
-    docs = F.map_from_entries(F.sort_array(F.collect_list(F.struct("doc_id", "score"))))
-    run.groupBy("query_id").agg(docs.alias("docs")).write.json(path)
+    """JSON objects ``{query: {document: score}}``, a line for each query, which :func:`millrace.sources.tables.read_run` reads as it
+    reads one object over all queries; a query's list is of bounded length."""
+    docs = F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("doc_id").cast("string").alias("doc_id"), F.col("score").cast("double").alias("score")))))
+    one = run.groupBy(F.col("query_id").cast("string").alias("query_id")).agg(docs.alias("docs"))
+    one.select(F.to_json(F.map_from_arrays(F.array("query_id"), F.array("docs"))).alias("value")).write.text(path)
+
+
+def write_run_object(run: DataFrame, path: str) -> None:
+    """One JSON object over all queries in one file, for tools that read that: a run of some thousand queries, never a corpus."""
+    docs = F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.col("doc_id").cast("string").alias("doc_id"), F.col("score").cast("double").alias("score")))))
+    one = run.groupBy(F.col("query_id").cast("string").alias("query_id")).agg(F.to_json(docs).alias("docs"))
+    quoted = F.expr("substr(to_json(array(query_id)), 2, length(to_json(array(query_id))) - 2)")
+    whole = one.select(F.concat(quoted, F.lit(": "), "docs").alias("e")).agg(F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list("e")), ", "), F.lit("}")).alias("value"))
+    whole.coalesce(1).write.text(path)
+
+
+def write_mined(nested: DataFrame, path: str, form: str = "json") -> None:
+    """Records of mined negatives (``query_id, query, positive_ids, hard_negatives``, :data:`millrace.schema.MINED`) as JSON lines or
+    Parquet, as :func:`millrace.sources.tables.read_mined` reads them. Columns that are missing are null."""
+    if "hard_negatives" in nested.columns:
+        have, want = nested.schema["hard_negatives"].dataType.elementType.names, MINED["hard_negatives"].dataType.elementType.fields
+        one = lambda h: F.struct(*((h[f.name] if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in want))
+        nested = nested.withColumn("hard_negatives", F.transform("hard_negatives", one))
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in nested.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in MINED.fields]
+    w = nested.select(*cols).write
+    w.option("ignoreNullFields", False).json(path) if form == "json" else w.parquet(path)
 
 
 def write_metrics(df: DataFrame, path: str, form: str = "json", mode: str = "append") -> None:

@@ -55,8 +55,8 @@ def read_sqlite(spark: SparkSession, path: str, dataset: str, kind: str) -> Data
 
 
 def write_sqlite(vectors: DataFrame, path: str) -> None:
-    """The vectors of one dataset and kind to one SQLite file; rows arrive one at a time. For exchange with tools that
-    read this layout; tables within the engine are Parquet."""
+    """The vectors of one dataset and kind to one SQLite file; rows arrive one at a time. Export only, for tools that read this
+    layout; tables within the engine are Parquet."""
     with sqlite3.connect(path) as db:
         db.execute("create table if not exists embeddings (id text, lang text, embedding blob, dtype text, dim int, source_shard int, primary key (id, lang))")
         for r in vectors.select("id", "lang", "embedding", "source_shard").toLocalIterator():
@@ -75,7 +75,7 @@ def split_key(key: tuple) -> tuple[str, str, str]:
 
 
 def read_pickled(spark: SparkSession, path: str, kind: str, source_shard: int = 0) -> DataFrame:
-    """A pickled (or NumPy-saved) dict of key to vector. Only for files one trusts: unpickling runs code."""
+    """A pickled (or NumPy-saved) dict of key to vector. Import only, through the driver; for files one trusts, as unpickling runs code."""
     if path.endswith(".npy"):
         table = np.load(path, allow_pickle=True).item()
     else:

@@ -251,6 +251,32 @@ def test_batches_without_duplicates(spark, chunk):
     assert all(r["count"] == 8 for r in short.groupBy("dataset", "chunk", "batch").count().collect())
 
 
+@pytest.mark.parametrize("seed", range(20))
+def test_greedy_batches_are_those_of_a_walk_along_the_queues(seed):
+    rng = random.Random(seed)
+    queues = [[(i * 100 + j, f"p{rng.randint(0, rng.choice([2, 30]))}") for j in range(rng.randint(0, 6))] for i in range(rng.randint(0, 40))]
+    size, left, want = rng.randint(1, 8), [list(q) for q in queues], []
+    while any(left):
+        held, batch = set(), []
+        for q in left:
+            if q and len(batch) < size and q[0][1] not in held:
+                held.add(q[0][1])
+                batch.append(q.pop(0)[0])
+        want.append(batch)
+    assert [sorted(b) for b in batches.greedy_batches(queues, size)] == [sorted(b) for b in want]
+
+
+def test_chunks_cost_no_rows(spark):
+    """With chunks as few rows are in short batches as without, and a last short batch is all that is dropped."""
+    df = spark.range(1003).select(F.lit("d").alias("dataset"), F.col("id").alias("row"), F.concat(F.lit("a"), F.col("id") % 900).alias("anchor"), F.concat(F.lit("p"), F.col("id") % 700).alias("positive"))
+    for chunk in (1 << 16, 60):
+        assert batches.no_duplicate_batches(df, 10, drop_last=True, chunk=chunk).count() == 1000
+        assert batches.no_duplicate_batches(df, 10, chunk=chunk).count() == 1003
+    hot = df.withColumn("positive", F.when(F.col("row") < 400, "hot").otherwise(F.col("positive")))
+    got = batches.no_duplicate_batches(hot, 10, chunk=60)
+    assert got.count() == 1003 and got.groupBy("chunk", "batch").count().count() <= 450
+
+
 def test_chunked_ranks_equal_plain_ones(spark):
     df = spark.range(1000).select(F.lit("d").alias("dataset"), F.col("id").alias("row"))
     a = batches.ranked(df, ["dataset"], keys.hash60("row"), "i", chunk=64).orderBy("row").collect()
