@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heapreplace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -84,13 +86,17 @@ def split_components(spark: SparkSession, pairs: DataFrame, val_fraction: float
 
     The order is by MD5 of seed and component: the same on any cluster. The target is rounded half to even."""
     tmp = Scratch(spark, "split")
-    rows = tmp.cut(pair_components(spark, pairs))
-    sizes = component_sizes(rows).select("component", F.col("pairs").alias("n"))
+    edges = tmp.cut(bipartite_edges(pairs))
+    of = connected_components(spark, edges)
+    of = tmp.cut(of.where(F.col("node").startswith("q:")))
+    sizes = edges.join(of, edges["a"] == of["node"]).groupBy("component").agg(F.count("*").alias("n"))
     sizes = tmp.cut(sizes.withColumn("o", F.md5(F.concat(F.lit(f"{seed}|"), F.col("component")))))
     total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     train = total - min(max(round(val_fraction * total), 0), total)  # Python rounds half to even
     placed = running_before(sizes, "o", "n", "before").select("component", F.when(F.col("before") < train, "train").otherwise("validation").alias("split"))
-    return rows.join(placed, "component")
+    # ids are split first; the rows with their texts are joined once
+    ids = tmp.cut(of.join(placed, "component").select(F.substring("node", 3, 1 << 30).alias("_q"), "component", "split"))
+    return pairs.withColumn("_q", normalize("query_id")).join(ids, "_q").drop("_q")
 
 
 def torn_ids(placed: DataFrame, shard: str, keys: list[str]) -> DataFrame:
@@ -102,38 +108,61 @@ def validate_no_split(placed: DataFrame, shard: str, keys: list[str]) -> None:
     require_empty(torn_ids(placed, shard, keys), "ids in more than one shard")
 
 
+def place_runs(histogram: list[tuple[str, int, int]], target: int) -> list[tuple]:
+    """``(dataset, size, shard, first, last)`` for ``histogram`` of ``(dataset, size, count)``: which of a dataset's components of one size,
+    numbered from 1, go to which shard, by the rule of :func:`assign_shards`.
+
+    Components of one size and dataset are a run. In a run a shard's rank among the others changes only when it takes one, so the
+    shards wait in a heap; and one that stays below its part of the dataset and its capacity only gets better by taking more, so it
+    takes as many at once as keep it there. A run costs its shards and, beyond that, a logarithm for each turn."""
+    total = sum(size * n for _, size, n in histogram)
+    shards = max(1, -(-total // target))
+    cap = np.full(shards, target, np.int64)
+    cap[-1] = total - target * (shards - 1) if total - target * (shards - 1) > 0 else target
+    filled, out = np.zeros(shards, np.int64), []
+    for dataset in sorted({d for d, _, _ in histogram}):
+        part = sorted(((size, n) for d, size, n in histogram if d == dataset), reverse=True)
+        aim = cap * (sum(size * n for size, n in part) / max(total, 1))
+        own = np.zeros(shards, np.int64)
+        for size, n in part:
+            after = filled + size
+            keys = zip(np.maximum(0, after - cap).tolist(), np.abs(own + size - aim).tolist(), np.abs(after - cap).tolist(), filled.tolist(), range(shards))
+            heap = list(keys)
+            heapify(heap)
+            done = 0
+            while done < n:
+                s = heap[0][4]
+                if size == 0:
+                    m = n - done
+                else:  # one less than what fits, as the part is no whole number
+                    m = max(1, min(n - done, int(cap[s] - filled[s]) // size, int((aim[s] - own[s]) // size) - 1))
+                filled[s] += m * size
+                own[s] += m * size
+                last = out[-1] if out else None
+                if last and last[0] == dataset and last[1] == size and last[2] == s:
+                    out[-1] = (*last[:4], done + m)
+                else:
+                    out.append((dataset, size, s, done + 1, done + m))
+                done += m
+                f, c = int(filled[s]) + size, int(cap[s])
+                heapreplace(heap, (max(0, f - c), abs(float(own[s] + size - aim[s])), abs(f - c), int(filled[s]), s))
+    return out
+
+
 def assign_shards(spark: SparkSession, sizes: DataFrame, target: int, seed: int = 42, chunk: int = 100_000) -> DataFrame:
     """``(component, dataset, rows, shard_id)`` for ``sizes(component, dataset, rows)``: datasets in name order, large
     components first, each to the shard with the least overflow, then the dataset count nearest to its part of the
     capacity, then the fill nearest to capacity, the lower fill and the lower number.
 
     The rule looks at sizes only, so it runs on the histogram of sizes (a dataset of N rows has fewer than
-    sqrt(2 N) different ones) in one task; which component of a size takes which place is decided by a seeded hash,
-    ranked in chunks. Null sizes count as 0, a null dataset as the empty name."""
+    sqrt(2 N) different ones) in one task (:func:`place_runs`); which component of a size takes which place is decided by a seeded
+    hash, ranked in chunks. Null sizes count as 0, a null dataset as the empty name."""
     tmp = Scratch(spark, "shards")
     rows = tmp.cut(sizes.select("component", normalize("dataset").alias("dataset"), F.coalesce("rows", F.lit(0)).cast("long").alias("rows")))
     histogram = tmp.cut(rows.groupBy("dataset", "rows").agg(F.count("*").alias("n")))
 
     def place(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = int((pdf["rows"] * pdf["n"]).sum())
-        shards = max(1, -(-total // target))
-        cap = np.full(shards, target, np.int64)
-        cap[-1] = total - target * (shards - 1) if total - target * (shards - 1) > 0 else target
-        filled, out = np.zeros(shards, np.int64), []
-        for dataset, part in pdf.groupby("dataset", sort=True):
-            share = int((part["rows"] * part["n"]).sum()) / max(total, 1)
-            own = np.zeros(shards, np.int64)
-            for size, n in sorted(zip(part["rows"], part["n"]), reverse=True):
-                for _ in range(int(n)):
-                    after = filled + size
-                    s = np.lexsort((filled, np.abs(after - cap), np.abs(own + size - cap * share), np.maximum(0, after - cap)))[0]
-                    filled[s] += size
-                    own[s] += size
-                    if out and out[-1][0] == dataset and out[-1][1] == size and out[-1][2] == s:
-                        out[-1][4] += 1
-                    else:
-                        first = out[-1][4] + 1 if out and out[-1][0] == dataset and out[-1][1] == size else 1
-                        out.append([dataset, int(size), int(s), first, first])
+        out = place_runs([(d, int(r), int(n)) for d, r, n in zip(pdf["dataset"], pdf["rows"], pdf["n"])], target)
         return pd.DataFrame(out, columns=["dataset", "rows", "shard_id", "first", "last"])
 
     places = histogram.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(lambda pdf: place(pdf), "dataset string, rows long, shard_id int, first long, last long")
@@ -142,5 +171,9 @@ def assign_shards(spark: SparkSession, sizes: DataFrame, target: int, seed: int
     before = dealt.groupBy("dataset", "rows", "c").agg(F.count("*").alias("k"))
     before = before.withColumn("before", F.coalesce(F.sum("k").over(W.partitionBy("dataset", "rows").orderBy("c").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("k")
     ranked = inside.join(before, ["dataset", "rows", "c"]).withColumn("i", F.col("i") + F.col("before"))
-    on = (ranked["dataset"] == places["dataset"]) & (ranked["rows"] == places["rows"]) & ranked["i"].between(places["first"], places["last"])
-    return ranked.join(places, on).select("component", ranked["dataset"], ranked["rows"], "shard_id")
+    # components of one size are many: they meet their places in blocks
+    block = lambda c: F.floor((F.col(c) - 1) / chunk)
+    places = tmp.cut(places).select(F.col("dataset").alias("_d"), F.col("rows").alias("_r"), "shard_id", "first", "last", F.explode(F.sequence(block("first"), block("last"))).alias("_b"))
+    ranked = ranked.withColumn("_block", block("i"))
+    on = (ranked["dataset"] == places["_d"]) & (ranked["rows"] == places["_r"]) & (ranked["_block"] == places["_b"]) & ranked["i"].between(places["first"], places["last"])
+    return ranked.join(places, on).select("component", "dataset", "rows", "shard_id")

@@ -33,6 +33,17 @@ def knn_topk_l2(spark, d):
     return _knn(spark, d, "l2").withColumn("score", F.round("score", 6))
 
 
+def knn_recall(spark, d):
+    """Of the ten nearest of the stated queries, how many the approximate search with its defaults finds."""
+    e = _t(spark, d, "embeddings")
+    q = e.where(F.col("vec_id") % 100 == 0).select(F.col("vec_id").alias("query"), F.col("embedding").alias("vector"))
+    p = e.select(F.col("vec_id").alias("passage"), F.col("embedding").alias("vector"))
+    near = knn.knn_join_cells(q, p, 10).select("query", "passage")
+    exact = knn.knn_join(q, p, 10).select("query", "passage")
+    r = exact.join(near.withColumn("found", F.lit(1)), ["query", "passage"], "left").agg(F.count("*").alias("wanted"), F.count("found").alias("found"))
+    return r.select("wanted", (F.col("found") >= 0.9 * F.col("wanted")).cast("int").alias("recall_of_09"))
+
+
 def _stored(spark, d):
     """Vectors kept for each key; ``item`` is the id without its language."""
     st = store.stored(_t(spark, d, "vector_store"), 128)
@@ -200,6 +211,7 @@ _A = "list_distinct(regexp_extract_all(lower(coalesce({}.text, '')), '[\\p{{L}}\
 
 QUERIES = {
     "knn_topk_ip": (knn_topk_ip, f"with {_KNN_IP} select query, passage, round(s, 6) as score, cast(rank as int) as rank from r where rank <= 10"),
+    "knn_recall": (knn_recall, f"with {_KNN_IP} select count(*) as wanted, 1 as recall_of_09 from r where rank <= 10"),
     "knn_topk_l2": (knn_topk_l2, f"with {_KNN_L2} select query, passage, round(s, 6) as score, cast(rank as int) as rank from r where rank <= 10"),
     "consistency_score": (consistency_score, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, retrieval_rank, virtual_rank, consistency, count(*) as n from scored group by all"),
     "consistency_filter": (consistency_filter, f"with {sql.SCORED} select query_id, passage_id, lang, dataset, query, retrieval_rank, virtual_rank from scored where {sql.BY_R} or (not {sql.BY_R} and {sql.BY_V})"),

@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import schema
-from millrace.functions import keys, models, vector
-from millrace.operators import buckets, metrics, store, training_rows
+from millrace.functions import keys, models, russian, vector
+from millrace.operators import bm25, buckets, knn, metrics, store, training_rows
 from millrace.sources import legacy, mini, sinks, tables
 
 
@@ -186,3 +186,35 @@ def test_tensors_and_small_tables(spark):
     assert len(c) == 40 and isinstance(c, pd.DataFrame)
     for r in c.itertuples(index=False):
         assert len(set(r[2:])) == 8 and r.positive not in r[2:]
+
+
+def test_cells_find_most_and_all_with_all_probes(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    x = np.concatenate([c + 0.4 * rng.normal(size=(25, 16)) for c in centres])
+    ps = spark.createDataFrame([(i, i % 2, v.tolist()) for i, v in enumerate(x)] + [(9999, 0, None)], "passage int, half int, vector array<float>")
+    qs = ps.where("passage % 10 = 0").withColumnRenamed("passage", "query")
+    for metric in ("ip", "l2"):
+        want = set(rows(knn.knn_join(qs, ps, 5, metric, ["half"]).select("query", "passage", "rank")))
+        every = knn.knn_join_cells(qs, ps, 5, metric, ["half"], cells=8, probes=8)
+        assert set(rows(every.select("query", "passage", "rank"))) == want
+        some = set(rows(knn.knn_join_cells(qs, ps, 5, metric, ["half"], probes=6).select("query", "passage", "rank")))
+        assert len({x[:2] for x in some} & {x[:2] for x in want}) >= 0.9 * len(want)
+    assert knn.knn_join_cells(qs, ps.limit(0), 5).count() == 0 and knn.knn_join_cells(qs.limit(0), ps, 5).count() == 0
+
+
+def test_bm25_by_join_equals_bm25_by_document(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"t{(i * j) % 23}" for j in range(1, 3 + i % 17))) for i in range(300)] + [(999, None), (998, ""), (7, "t1 t1 t2")], "doc_id long, text string")
+    qs = spark.createDataFrame([("a", "t1 t2 t2"), ("b", "t22"), ("c", "none"), ("d", None), (None, "t3")], "query_id string, text string")
+    one = rows(bm25.bm25(docs, qs, 20))
+    assert one == rows(bm25.bm25(docs, qs, 20, most_terms=0)) and len({r[0] for r in one}) == 3
+    assert bm25.bm25(docs.limit(0), qs).count() == 0 and bm25.bm25(docs, qs.limit(0)).count() == 0
+
+
+def test_russian_stems(spark):
+    # words and stems of the public vocabulary of the algorithm
+    known = "вавиловка вавиловк важная важн важнее важн важности важност важнейшие важн вагоны вагон валандался валанда валентином валентин веровали верова вечерний вечерн падение паден падшая падш пакостей пакост в в памятный памятн партии парт пасмурно пасмурн".split()
+    assert [russian.stem(w) for w in known[::2]] == known[1::2]
+    docs = spark.createDataFrame([(1, "Новые вагоны на станции"), (2, "важное"), (3, None)], "doc_id int, text string")
+    qs = spark.createDataFrame([(1, "новый вагон"), (2, "на")], "query_id int, text string")
+    assert [(r["query_id"], r["doc_id"]) for r in bm25.bm25(docs, qs, analyzer=russian.analyze_russian).collect()] == [(1, 1)]
