@@ -27,6 +27,7 @@ SAME_SHAPE = (
 )
 #: Letters that stand apart where case is set aside: Greek nu would join n and v, the Cyrillic palochka i and l.
 ONE_CASE = "νΝӀӏ"
+_PLACE = {c: i for shape in SAME_SHAPE for i, c in enumerate(shape)}
 
 # Ranges of characters without width (default-ignorable code points; soft hyphen, zero-width
 # spaces and joiners, direction marks, variation selectors).
@@ -109,7 +110,7 @@ def counted() -> frozenset[str]:
 def rewrites(counts: Mapping[str, int], caseless: bool = False, only_counted: bool = False) -> dict[str, str]:
     """Each member of a class that isn't its representative, with the representative.
 
-    The representative is the most frequent single character (ties: the smallest code point). Classes of
+    The representative is the most frequent single character (ties: the first in SAME_SHAPE, then the smallest code point). Classes of
     letters with marks follow the representative of their base letter, so that any sequence of marks,
     listed or not, ends in one form. What has no width becomes nothing; any space becomes a space.
     ``only_counted`` leaves out members with a character that ``counts`` lacks: it occurs nowhere."""
@@ -124,7 +125,7 @@ def rewrites(counts: Mapping[str, int], caseless: bool = False, only_counted: bo
         elif any(len(x) > 1 for x in c):
             marked.append(c)
         else:
-            rep.update(dict.fromkeys(c, max(c, key=lambda x: (counts.get(x, 0), -ord(x)))))
+            rep.update(dict.fromkeys(c, max(c, key=lambda x: (counts.get(x, 0), -_PLACE.get(x, 99), -ord(x)))))
     for c in marked:
         seq = unicodedata.normalize("NFD", min(c, key=lambda x: (-len(x), x)))
         rep.update(dict.fromkeys(c, unicodedata.normalize("NFC", rep.get(seq[0], seq[0]) + seq[1:])))
