@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -90,12 +89,6 @@ def lang_key(c) -> Column:
     return F.when(F.size(two) > 0, F.array_join(F.array_distinct(two), "-"))
 
 
-def coalesce_columns(available: list[str], *names: str) -> Column:
-    """The first of ``names`` that exists, resolved when the plan is made; null if none does."""
-    there = [F.col(n) for n in names if n in available]
-    return reduce(lambda a, b: F.coalesce(a, b), there) if there else F.lit(None)
-
-
 def with_ordinal(df, *order: str, out: str = "ordinal"):
     """``df`` in the given order with its 0-based place, without a window over everything: rows are sorted in ranges, written, and
     offset by the counts of the ranges before. Equal rows get places of their own."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column
@@ -49,18 +49,15 @@ def truncate_words(c, limit: int) -> Column:
 
 
 def truncate_tokens(c, limit: int, tokenizer: Callable[[], object]) -> Column:
-    """Cut to a token budget. ``tokenizer()`` is called once per worker and gives ``encode(text) -> ids`` and ``decode(ids)``."""
+    """Cut to a token budget. ``tokenizer()`` is called once per task and gives ``encode(text) -> ids`` and ``decode(ids)``. Null: empty."""
 
     @F.pandas_udf("string")
-    def cut(s: pd.Series) -> pd.Series:
-        tok = _made.setdefault(id(tokenizer), tokenizer())
-        out = []
-        for t in s:
-            ids = tok.encode(t or "")
-            out.append((t or "") if len(ids) <= limit else tok.decode(ids[:limit]))
-        return pd.Series(out)
-
-    _made: dict[int, object] = {}
+    def cut(it: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tok = tokenizer()
+        for s in it:
+            ids = [tok.encode(t or "") for t in s]
+            yield pd.Series([(t or "") if len(i) <= limit else tok.decode(i[:limit]) for t, i in zip(s, ids)], index=s.index, dtype=object)
+
     return cut(F.col(c) if isinstance(c, str) else c)
 
 

@@ -17,6 +17,14 @@ from ..session import Scratch
 CHUNK = 262_144
 
 
+def batch_keys(df: DataFrame, row: str = "row") -> DataFrame:
+    """``df`` with the ``anchor`` and ``positive`` keys that batches go by: the first of the columns ``query_key64, query_id, query, anchor``, and of
+    ``positive_key64, positive_id, positive``, that isn't null in the row, else a key of the row's own."""
+    own = F.concat(F.lit("row "), F.col(row).cast("string"))
+    first = lambda *names: F.coalesce(*(F.col(n).cast("string") for n in names if n in df.columns), own)
+    return df.withColumns({"anchor": first("query_key64", "query_id", "query", "anchor"), "positive": first("positive_key64", "positive_id", "positive")})
+
+
 def ranked(df: DataFrame, by: list[str], order, out: str, chunk: int = 100_000) -> DataFrame:
     """Add the 0-based place of each row in the order of the 60-bit hash ``order`` within ``by``. A large group is dealt to
     ranges of the hash, ranked in each and offset by the counts before, so it is never sorted in one task."""

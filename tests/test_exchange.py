@@ -10,8 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import schema
-from millrace.functions import keys, models, russian, vector
-from millrace.operators import bm25, buckets, knn, metrics, store, training_rows
+from millrace.functions import keys, models, russian, text, vector
+from millrace.operators import batches, bm25, buckets, knn, metrics, store, training_rows
 from millrace.sources import legacy, mini, sinks, tables
 
 
@@ -218,3 +218,19 @@ def test_russian_stems(spark):
     docs = spark.createDataFrame([(1, "Новые вагоны на станции"), (2, "важное"), (3, None)], "doc_id int, text string")
     qs = spark.createDataFrame([(1, "новый вагон"), (2, "на")], "query_id int, text string")
     assert [(r["query_id"], r["doc_id"]) for r in bm25.bm25(docs, qs, analyzer=russian.analyze_russian).collect()] == [(1, 1)]
+
+
+def test_token_budget_batch_keys_and_distances(spark):
+    class Words:
+        def encode(self, t):
+            return t.split()
+
+        def decode(self, ids):
+            return " ".join(ids)
+
+    df = spark.createDataFrame([(1, "a b  c"), (2, "a  b"), (3, None), (4, "")], "row int, t string")
+    assert [r[0] for r in df.orderBy("row").select(text.truncate_tokens("t", 2, Words)).collect()] == ["a b", "a  b", "", ""]
+    k = spark.createDataFrame([(1, 7, "q", "x", None), (2, None, "q", "x", 5), (3, None, None, None, None)], "row int, query_key64 long, query string, positive string, positive_key64 long")
+    assert [(r["anchor"], r["positive"]) for r in batches.batch_keys(k).orderBy("row").collect()] == [("7", "x"), ("q", "5"), ("row 3", "row 3")]
+    v = spark.createDataFrame([([1.0, 2.0], [4.0, 6.0])], "a array<float>, b array<double>")
+    assert v.select(vector.l2_squared("a", "b")).first()[0] == 25.0
