@@ -262,61 +262,61 @@ def _short_candidates(spark: SparkSession, sets: DataFrame, per_mille: int, tmp:
     # a total of words first; only those at or above the bound come to the driver
     df = tmp.cut(sets.select(F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n")))
     total = df.agg(F.sum("n")).first()[0] or 0
-    often = {r["w"]: r["n"] for r in df.where(F.col("n") >= max(2.0, FREQUENT * total)).collect()}
-    order = spark.sparkContext.broadcast(often)
+    often = sorted((r["w"], r["n"]) for r in df.where(F.col("n") >= max(2.0, FREQUENT * total)).collect())
+    order = spark.sparkContext.broadcast(tuple(np.array([x[i] for x in often], np.int64) for i in (0, 1)))
 
     cols = ["key", "scope", "set_id", "n", "left", "right", "last", "level"]
     schema = "key long, scope long, set_id long, n int, left boolean, right boolean, last int, level int"
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), pa.int32(), pa.int32()]
-
-    def head(n: int, size: int) -> int:
-        """So many first words of a set of ``n`` hold ``size`` words of any set that agrees with it."""
-        return min(n, n - -(-n * per_mille // 1000) + size)
-
-    def emit(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for row in found:
-            out.append(row)
-            if len(out) >= 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], cols)
-                out = []
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], cols)
-
-    def chain(key: int, word: int) -> int:
-        return _hash(key.to_bytes(8, "little", signed=True) + word.to_bytes(8, "little", signed=True))
+    spare = np.array([n - -(-n * per_mille // 1000) for n in range(SHORT + 1)])  # the first spare + L words of a set hold L of any that agrees with it
+
+    def ordered(lists) -> tuple[np.ndarray, np.ndarray]:
+        """The words of the sets one after the other, each set's in the common order; and where each begins."""
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = lists.flatten().to_numpy(zero_copy_only=False)
+        known, rank = order.value
+        at = np.minimum(np.searchsorted(known, flat), max(0, len(known) - 1))
+        often = np.where(known[at] == flat, rank[at], 0) if len(known) else np.zeros(len(flat), np.int64)
+        return flat[np.lexsort((flat, often, np.repeat(np.arange(len(sizes)), sizes)))], np.cumsum(sizes) - sizes
+
+    def chain(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+        return _mix(_mix(key.view(np.uint64)) + word.view(np.uint64)).view(np.int64)
+
+    def rows(key, b, row, last, level) -> pa.RecordBatch:
+        same = [b.column(i).take(pa.array(row)) for i in (0, 1)]
+        sizes = pc.list_value_length(b.column(2)).cast(pa.int32()).take(pa.array(row))
+        sides = [b.column(i).take(pa.array(row)) for i in (3, 4)]
+        return pa.RecordBatch.from_arrays([pa.array(key), *same, sizes, *sides, pa.array(last.astype(np.int32)), pa.array(np.broadcast_to(level, key.shape).astype(np.int32))], cols)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = order.value
-
-        def found():
-            for b in batches:
-                for scope, i, w, left, right in zip(*(c.to_pylist() for c in b.columns)):
-                    n = len(w)
-                    if n < 3:  # agrees with itself only
-                        yield i, scope, i, n, left, right, n, n
-                        continue
-                    w.sort(key=lambda x: (rank.get(x, 0), x))
-                    for c in combinations(range(head(n, WORDS)), WORDS):
-                        key = WORDS
-                        for p in c:
-                            key = chain(key, w[p])
-                        yield key, scope, i, n, left, right, c[-1], WORDS
-
-        return emit(found())
+        for b in batches:
+            flat, start = ordered(b.column(2))
+            sizes = pc.list_value_length(b.column(2)).to_numpy(zero_copy_only=False)
+            tiny = np.nonzero(sizes < WORDS)[0]  # agree with themselves only
+            if len(tiny):
+                yield rows(b.column(1).to_numpy(zero_copy_only=False)[tiny], b, tiny, sizes[tiny], sizes[tiny])
+            for n in np.unique(sizes[sizes >= WORDS]):
+                places = np.array(list(combinations(range(min(n, spare[n] + WORDS)), WORDS)))
+                every = np.nonzero(sizes == n)[0]
+                for at in range(0, len(every), 20_000):
+                    some = every[at : at + 20_000]
+                    of = start[some][:, None, None] + places[None]  # set, subset, word
+                    key = np.full(of.shape[:2], WORDS, np.int64)
+                    for i in range(WORDS):
+                        key = chain(key, flat[of[:, :, i]])
+                    yield rows(key.ravel(), b, np.repeat(some, len(places)), np.tile(places[:, -1], len(some)), WORDS)
 
     def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The hashes of a hot one with one of the words after its last."""
-        rank = order.value
-
-        def found():
-            for b in batches:
-                for key, scope, i, n, left, right, last, level, w in zip(*(c.to_pylist() for c in b.columns)):
-                    w.sort(key=lambda x: (rank.get(x, 0), x))
-                    for p in range(last + 1, head(n, level + 1)):
-                        yield chain(key, w[p]), scope, i, n, left, right, p, level + 1
-
-        return emit(found())
+        for b in batches:
+            for at in range(0, b.num_rows, 20_000):
+                part = b.slice(at, 20_000)
+                key, n, last, level = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 3, 6, 7))
+                flat, start = ordered(part.column(8))
+                more = np.maximum(0, np.minimum(n, spare[n] + level + 1) - last - 1)
+                row = np.repeat(np.arange(part.num_rows), more)
+                p = last[row] + 1 + np.arange(len(row)) - np.repeat(np.cumsum(more) - more, more)
+                out = [pa.array(chain(key[row], flat[start[row] + p])), *(part.column(i).take(pa.array(row)) for i in range(1, 6)), pa.array(p.astype(np.int32)), pa.array((level[row] + 1).astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(out, cols)
 
     words = sets.select("scope", "set_id", "words")
     k = tmp.cut(sets.select("scope", "set_id", "words", "left", "right").mapInArrow(keys, schema))

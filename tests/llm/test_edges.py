@@ -62,10 +62,12 @@ def test_agreeing_sets_lose_nothing(spark, seed, monkeypatch):
     df = spark.createDataFrame([(0, i, list(s), i % 2 == 0, i % 3 > 0) for i, s in enumerate(sets)], "scope long, set_id long, words array<bigint>, left boolean, right boolean")
     want = sorted((0, i, j) for i, a in enumerate(sets) for j, b in enumerate(sets) if i % 2 == 0 and j % 3 > 0 and len(set(a) & set(b)) * 10 >= 7 * len(set(a) | set(b)))
     assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want and len(want) > 100
-    monkeypatch.setattr(overlap, "HOT", 0)  # every shared hash is hot and made longer
-    assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want
+    monkeypatch.setattr(overlap, "HOT", 0)
     monkeypatch.setattr(overlap, "SHORT", 8)  # nearly all by parts, so small that many are empty
     assert rows(overlap.agreeing_sets(spark, df, 0.7)) == want
+    monkeypatch.setattr(overlap, "SHORT", 12)  # every shared hash is hot and made longer
+    small = {i for i, s in enumerate(sets) if len(s) <= 12}
+    assert rows(overlap.agreeing_sets(spark, df.where("size(words) <= 12"), 0.7)) == [x for x in want if {x[1], x[2]} <= small]
 
 
 def test_sets_of_few_scopes_are_compared_as_they_are(spark):
