@@ -36,6 +36,8 @@ FREQUENT = 1 / 20_000
 SHORT, WORDS = 24, 3
 #: A hash that more sets than this hold on both sides is hot: its sets aren't compared but hashed by one more word.
 HOT = 64
+#: Rows that leave a task's Python in one batch, about.
+ROWS = 80_000
 #: A scope whose pairs are at most this many times its sets is compared as it is.
 FEW = 16
 
@@ -135,7 +137,7 @@ def _columns(b: pa.RecordBatch) -> Iterator[tuple[np.ndarray, ...]]:
     scope, ids = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
     at = 0
     while at < len(sizes):
-        to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), 200_000)))
+        to = at + max(1, int(np.searchsorted(np.cumsum(sizes[at : at + ROWS // 4]), ROWS // 4)))
         yield scope[at:to], ids[at:to], sizes[at:to].astype(np.int64), lists.slice(at, to - at).flatten().to_numpy(zero_copy_only=False)
         at = to
 
@@ -297,8 +299,9 @@ def _short_candidates(spark: SparkSession, sets: DataFrame, per_mille: int, tmp:
             for n in np.unique(sizes[sizes >= WORDS]):
                 places = np.array(list(combinations(range(min(n, spare[n] + WORDS)), WORDS)))
                 every = np.nonzero(sizes == n)[0]
-                for at in range(0, len(every), 20_000):
-                    some = every[at : at + 20_000]
+                step = max(1, ROWS // len(places))
+                for at in range(0, len(every), step):
+                    some = every[at : at + step]
                     of = start[some][:, None, None] + places[None]  # set, subset, word
                     key = np.full(of.shape[:2], WORDS, np.int64)
                     for i in range(WORDS):
@@ -308,8 +311,8 @@ def _short_candidates(spark: SparkSession, sets: DataFrame, per_mille: int, tmp:
     def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The hashes of a hot one with one of the words after its last."""
         for b in batches:
-            for at in range(0, b.num_rows, 20_000):
-                part = b.slice(at, 20_000)
+            for at in range(0, b.num_rows, ROWS // SHORT):
+                part = b.slice(at, ROWS // SHORT)
                 key, n, last, level = (part.column(i).to_numpy(zero_copy_only=False) for i in (0, 3, 6, 7))
                 flat, start = ordered(part.column(8))
                 more = np.maximum(0, np.minimum(n, spare[n] + level + 1) - last - 1)
