@@ -112,6 +112,12 @@ def fit_lengths(lengths: list[int], counts: list[int], budget: int) -> list[int]
     return take
 
 
+def wanted_shares(targets: DataFrame) -> DataFrame:
+    """``(source, target_share, max_repeats)``, a row for each source that is listed."""
+    wanted = targets.select(clean_source("source").alias("source"), F.col("target_share").cast("double").alias("target_share"), F.coalesce(F.col("max_repeats").cast("long"), F.lit(0)).alias("max_repeats"))
+    return wanted.where("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+
+
 def plan_mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, size=whitespace_size, tmp: Scratch | None = None):
     """The sized documents of the listed sources, and a row for each source and length: how many documents of that
     length are taken once more than ``passes`` times; and a row for each source with size and budget.
@@ -119,9 +125,7 @@ def plan_mix(spark: SparkSession, documents: DataFrame, targets: DataFrame, size
     Sources are compared without case and outer blanks. A listed source without documents has size 0. Null texts
     count as size 0. A source listed twice adds its shares and keeps the larger repeat cap; a null cap is 0."""
     tmp = tmp or Scratch(spark, "p7")
-    wanted = targets.select(clean_source("source").alias("source"), F.col("target_share").cast("double").alias("target_share"), F.coalesce(F.col("max_repeats").cast("long"), F.lit(0)).alias("max_repeats"))
-    wanted = wanted.where("source is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
-    wanted = tmp.cut(wanted)
+    wanted = tmp.cut(wanted_shares(targets))
     keep = ["doc_id"] if "doc_id" in documents.columns else []
     sized = documents.select(*keep, clean_source("source").alias("source"), size(F.col("text").cast("string")).alias("len"))
     sized = tmp.cut(sized.join(wanted.select("source"), "source", "left_semi"))

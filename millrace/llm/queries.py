@@ -96,6 +96,13 @@ def p7_mix(spark, d):
     return mixing.mix(spark, _t(spark, d, "documents"), _t(spark, d, "mix_targets"))
 
 
+def p7_mix_sums(spark, d):
+    """Of each source what the chosen documents add up to with their repeats, and how many are repeated too often or listed twice."""
+    caps = mixing.wanted_shares(_t(spark, d, "mix_targets"))
+    m = p7_mix(spark, d).join(caps, "source").groupBy("source", "doc_id").agg(F.sum(F.col("size") * F.col("repeats")).alias("n"), F.count("*").alias("k"), F.max(F.col("repeats") > F.col("max_repeats")).alias("often"))
+    return m.groupBy("source").agg(F.sum("n").alias("taken"), F.count_if("often").alias("too_often"), F.count_if(F.col("k") > 1).alias("twice"))
+
+
 def p7_mix_tokens(spark, d):
     return mixing.mix(spark, _t(spark, d, "documents"), _t(spark, d, "mix_targets"), size=mixing.tokenizer_size())
 
@@ -108,12 +115,18 @@ def p8_forms(spark, d):
     return lookalike.normalise_text(_t(spark, d, "documents").select("doc_id", "text")).select("doc_id", "text_form")
 
 
+def p8_form_counts(spark, d):
+    """Documents with a form, different texts and different forms."""
+    f = lookalike.normalise_text(_t(spark, d, "documents").select("doc_id", "text"))
+    return f.agg(F.count("text_form").alias("documents"), F.count_distinct("text").alias("texts"), F.count_distinct("text_form").alias("forms"))
+
+
 def p8_classes(spark, d):
     return lookalike.form_classes(_t(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    names = "p1_found p1_report p2_found p2_shards p2_fill p3_found p4_found p4_splits p4_shares p5_found p5_most_similar p6_found p6_passages p7_found p7_shares p7_shares_tokens p7_mix p7_mix_tokens p8_found p8_forms p8_classes".split()
+    names = "p1_found p1_report p2_found p2_shards p2_fill p3_found p4_found p4_splits p4_shares p5_found p5_most_similar p6_found p6_passages p7_found p7_shares p7_shares_tokens p7_mix p7_mix_sums p7_mix_tokens p8_found p8_forms p8_form_counts p8_classes".split()
     return {n: globals()[n] for n in names}
 
 
@@ -198,6 +211,9 @@ def oracle_sql() -> dict[str, str]:
         "p7_found": f"with {_SIZE} select source from j where cap * size < share * (select sum(size) from j)",
         "p7_shares": f"""with {_SIZE}, b as (select *, share * (select sum(size) from j) as budget from j), k as (select *, cap * size < budget as short, cast(case when cap * size < budget then cap * size else floor(budget) end as bigint) as taken from b)
           select source, docs, size, share as target_share, budget, taken, taken / sum(taken) over () as actual_share, short from k""",
+        "p7_mix_sums": f"""with {_SIZE}, b as (select *, share * (select sum(size) from j) as budget from j), k as (select source, cast(case when cap * size < budget then cap * size else floor(budget) end as bigint) as taken from b)
+          select source, taken, 0 as too_often, 0 as twice from k where taken > 0""",
+        "p8_form_counts": f"select count(form) as documents, count(distinct text) as texts, count(distinct form) as forms from (select text, {_form_sql('text')} as form from documents)",
         "p8_found": f"with f as (select doc_id, text, {_form_sql('text')} as form from documents where text is not null) select distinct a.doc_id as doc_a, b.doc_id as doc_b from f a join f b on a.form = b.form and a.text <> b.text and a.doc_id < b.doc_id",
         "p8_classes": f"with f as (select doc_id, text, {_form_sql('text')} as form from documents where text is not null), c as (select form, min(doc_id) as class_id, count(distinct text) as n_texts, count(*) as n_rows from f group by 1) select f.doc_id, c.class_id, c.n_texts, c.n_rows from f join c on c.form = f.form",
     }
