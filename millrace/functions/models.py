@@ -87,7 +87,7 @@ def model_kind(path: str, config: dict | None = None) -> str:
     built = [str(x).lower() for x in config.get("architectures") or []] + [str(config.get("auto_map") or "").lower()]
     if "jina-reranker-v3" in name or any("jinaforranking" in x for x in built):
         return JINA
-    generative = any("causallm" in x for x in built[:-1]) or str(config.get("model_type") or "").lower() in ("qwen3", "qwen2", "llama")
+    generative = any("forcausal" in x for x in built[:-1]) or str(config.get("model_type") or "").lower() in ("qwen3", "qwen2", "llama")
     if (generative and "rerank" in name) or ("qwen" in name and "reranker" in name):
         return QWEN
     return CROSS_ENCODER
